@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from critiq.plans import consolidate_queries, extract_queries, metrics_queries
+from critiq.plans import consolidate_queries, extract_queries, keyword_queries, metrics_queries
 
-_MODULES = [metrics_queries, consolidate_queries, extract_queries]
+_MODULES = [metrics_queries, consolidate_queries, extract_queries, keyword_queries]
 
 
 def all_queries():
