@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from critiq.plans import (consolidate_queries, extract_queries, keyword_queries, metrics_queries,
-                          predict_queries, textrank_queries)
+                          predict_queries, stream_queries, textrank_queries)
 
 _MODULES = [metrics_queries, consolidate_queries, extract_queries, keyword_queries, textrank_queries,
-            predict_queries]
+            predict_queries, stream_queries]
 
 
 def all_queries():
