@@ -116,9 +116,16 @@ def allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Review texts with their group: publisher = lang, version = source."""
+    """Review texts with their group: publisher = lang, version = source.
+
+    Texts are hash-partitioned by doc_id right after the scan: tokenising is
+    the CPU-heavy step, and a file (or row group) may hold many texts, so this
+    one shuffle of raw text spreads the work over all tasks. Every later
+    per-document aggregation reuses the partitioning.
+    """
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.col("lang").alias("publisher"), F.col("source").alias("version"), "text")
+        "doc_id", F.col("lang").alias("publisher"), F.col("source").alias("version"), "text"
+    ).repartition("doc_id")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
