@@ -20,16 +20,3 @@ def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFr
     Use on materialised (checkpointed) tables, where the check reads stored rows."""
     return F.broadcast(df) if row_count_at_most(df, limit) else df
 
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder
-    and reading it back: one computation (a reliable ``checkpoint()`` computes the
-    plan a second time to write its files), columnar storage, survives executor loss."""
-    import uuid
-
-    from critiq.session import stage_path
-
-    spark = df.sparkSession
-    path = stage_path(spark, f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
