@@ -56,10 +56,19 @@ def ingest(spark: SparkSession, landing: str, schema: StructType, key: Sequence[
               .withWatermark(event_time, delay)
               .dropDuplicatesWithinWatermark(list(key))
               .drop(event_time))
-    q = (stream.writeStream.foreachBatch(merge_new_rows(target, key))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    # A new stream fixes its state-store count from spark.sql.shuffle.partitions
+    # at start; more stores than cores only adds per-batch overhead, so the
+    # count is capped at the default parallelism for this stream and restored.
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(max(1, min(int(parts), spark.sparkContext.defaultParallelism))))
+    try:
+        q = (stream.writeStream.foreachBatch(merge_new_rows(target, key))
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     return spark.read.parquet(target)
 
 
