@@ -17,6 +17,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.piece_bpe import encode_decode
+
+    rows = encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.packing import pack
 
@@ -25,8 +34,38 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.linededup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP10_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT k.doc_id, k.pos, k.line, (s.key IS NOT NULL AND s.keeper <> k.doc_id) AS gone
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_piece_bpe": op4_piece_bpe,
     "op8_packing": op8_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_line_dedup": OP10_SQL}
