@@ -2,11 +2,11 @@
 
 Encoding by backtracking. A row of tokens is what the merge procedure gives
 exactly if every two neighbours are what it gives for their joined text. So the
-encoder walks through the text with the longest token at each place (found by an
-Aho-Corasick automaton over the reversed vocabulary), checks it against the token
-before it by merging the two again (answers are kept), takes the next shorter
-token where they do not agree, and steps back where no token is left. A bitfield
-marks the places from which no tokenisation goes on, so each place fails once.
+encoder follows the longest matches of an Aho-Corasick automaton over the
+vocabulary, checks each against the token before it by merging the two again
+(answers are kept), takes the next shorter token where they do not agree, and
+steps back where no token is left. A bitfield marks the places from which no
+tokenisation goes on, so each place fails once.
 
 A token never holds a space mark after another character, and characters that
 occur in no token become their bytes, so texts are cut before each run of spaces
@@ -21,6 +21,7 @@ gives no rows; repeated rows give a row each; further columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -108,13 +109,19 @@ class PieceModel:
                       " ⁇ ".encode() if k == UNKNOWN else p.replace(MARK, " ").encode()
                       for p, _, k in pieces]
         self.automaton = ahocorasick.Automaton()
-        for p in self.id:
-            self.automaton.add_word(p[::-1], len(p))
+        self.shorter: dict[int, int] = {}  # the longest token that begins a token, without itself
+        for p, i in self.id.items():
+            if self.merge(list(p)) == [p]:  # others never come out of the merge procedure
+                self.automaton.add_word(p, i)
         self.automaton.make_automaton()
+        for p, i in self.id.items():
+            for n in range(len(p) - 1, 0, -1):
+                if p[:n] in self.automaton:
+                    self.shorter[i] = self.id[p[:n]]
+                    break
         self.cut = re.compile(r" *[^ \n]+| +|\n")
         self.cuts: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left id * number of pieces + right id
         self.last: dict[str, tuple[float, str, str] | None] = {}
 
     # ---- merging, for short strings only -------------------------------------------------
@@ -132,17 +139,16 @@ class PieceModel:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def agree(self, left: str, right: str) -> bool:
+    def agree(self, left: int, right: int) -> bool:
         """Do two neighbours come out again when their joined text is merged?"""
-        key = (left, right)
+        key = left * len(self.text) + right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= CACHE:
                 self.pairs.clear()
-            if right[0] == MARK:  # runs of spaces: their pieces have equal scores
-                known = self.merge(list(left + right)) == [left, right]
-            else:
-                known = self._stay_apart(left, right)
+            a, b = self.text[left], self.text[right]
+            # The pieces of runs of spaces have equal scores, so those are merged as a whole.
+            known = self.merge(list(a + b)) == [a, b] if b[0] == MARK else self._stay_apart(a, b)
             self.pairs[key] = known
         return known
 
@@ -183,67 +189,53 @@ class PieceModel:
         """The last of a piece's merges, as a negative score; characters are there from the start."""
         return -self.score[piece] if len(piece) > 1 else float("-inf")
 
-    def reachable(self, piece: str) -> bool:
-        """Does merging the piece's characters give the piece?"""
-        known = self.alone.get(piece)
-        if known is None:
-            known = self.alone[piece] = self.merge(list(piece)) == [piece]
-        return known
-
     # ---- encoding -------------------------------------------------------------------------
-    def backtrack(self, text: str) -> list[str]:
-        """Tokens of a text whose characters all occur in the vocabulary."""
-        n = len(text)
-        # Lengths of the tokens that start at each place, longest first: matches that
-        # end at n - 1 - place in the reversed text.
-        lengths: list[list[int]] = [[] for _ in range(n)]
-        for end, size in self.automaton.iter(text[::-1]):
-            lengths[n - 1 - end].append(size)
-        for sizes in lengths:
-            sizes.sort(reverse=True)
-        open_places = (1 << (n + 1)) - 1  # a bit is cleared when its place has failed
-        tokens: list[str] = []
-        choice: list[int] = []  # the length tried for each token, as an index into its place's list
-        at, try_from = 0, 0
+    def backtrack(self, text: str) -> list[int]:
+        """Ids of a text whose characters all occur in the vocabulary."""
+        n, at, ids = len(text), 0, []
+        pairs, pieces, width, longest = self.pairs, self.text, len(self.text), self.automaton.iter_long
+        failed = 0  # bit i: no tokenisation goes on from place i
         while at < n:
-            sizes, before = lengths[at], tokens[-1] if tokens else None
-            for i in range(try_from, len(sizes)):
-                stop = at + sizes[i]
-                if not open_places >> stop & 1:
-                    continue
-                token = text[at:stop]
-                if self.reachable(token) and (before is None or self.agree(before, token)):
-                    tokens.append(token)
-                    choice.append(i)
-                    at, try_from = stop, 0
-                    break
+            for end, token in longest(text, at):
+                stop = end + 1
+                if failed >> stop & 1 or ids and not (
+                        pairs.get(ids[-1] * width + token) or self.agree(ids[-1], token)):
+                    break  # go on below from the next shorter token
+                ids.append(token)
+                at = stop
             else:
-                if not tokens:
+                return ids
+            token = self.shorter.get(token)
+            while True:
+                while token is not None:
+                    stop = at + len(pieces[token])
+                    if not failed >> stop & 1 and (not ids or self.agree(ids[-1], token)):
+                        break
+                    token = self.shorter.get(token)
+                if token is not None:
+                    ids.append(token)
+                    at = stop
+                    break
+                if not ids:
                     raise ValueError(f"no tokenisation of {text!r}")
-                open_places &= ~(1 << at)
-                at -= len(tokens.pop())
-                try_from = choice.pop() + 1
-        return tokens
-
-    def _known(self, run: str) -> list[int]:
-        """Ids of a run of characters of the vocabulary. Long runs are walked in linear time."""
-        return [self.id[t] for t in self.backtrack(run)]
+                failed |= 1 << at
+                token = ids.pop()
+                at -= len(pieces[token])
+                token = self.shorter.get(token)
+        return ids
 
     def encode_cut(self, cut: str) -> list[int]:
         """Ids of one cut, from the worker's table if it is there."""
         ids = self.cuts.get(cut)
         if ids is None:
-            ids, run = [], []
-            for c in cut.replace(" ", MARK):
-                if c in self.chars:
-                    run.append(c)
-                    continue
-                if run:
-                    ids += self._known("".join(run))
-                    run = []
-                ids += [self.byte_id[b] for b in c.encode()]
-            if run:
-                ids += self._known("".join(run))
+            marked = cut.replace(" ", MARK)
+            if self.chars.issuperset(marked):
+                ids = self.backtrack(marked)
+            else:
+                ids = []
+                for known, run in itertools.groupby(marked, self.chars.__contains__):
+                    run = "".join(run)
+                    ids += self.backtrack(run) if known else [self.byte_id[b] for b in run.encode()]
             if len(cut) <= 64:
                 if len(self.cuts) >= CACHE:
                     self.cuts.clear()
