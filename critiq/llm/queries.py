@@ -17,6 +17,20 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def id_remainder(n: int):
+    """crc32 of doc_id as text, modulo n: decides which rows are held out."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(4) == 2
+    out = predict(docs, fit(docs.where(~held_out)))
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.piece_bpe import encode_decode
 
@@ -34,6 +48,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder(3) == 1
+    lexicon = fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return score(docs, lexicon).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.linededup import dedup_lines
 
@@ -63,8 +86,10 @@ FROM marked GROUP BY doc_id
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op4_piece_bpe": op4_piece_bpe,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 
