@@ -22,6 +22,12 @@ def id_remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.langid import fit, predict
 
@@ -86,6 +92,7 @@ FROM marked GROUP BY doc_id
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_language_id": op3_language_id,
     "op4_piece_bpe": op4_piece_bpe,
     "op8_packing": op8_packing,
