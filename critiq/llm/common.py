@@ -130,3 +130,22 @@ def group_arrow(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     """``applyInArrow`` on groups with this package on the executors."""
     ship(df.sparkSession)
     return df.groupBy(*keys).applyInArrow(run, schema)
+
+
+def add_columns(df: DataFrame, text: str, fields: list[tuple[str, str]], verdicts) -> DataFrame:
+    """``df`` with the columns that ``verdicts(texts)`` gives for each batch of its text column.
+
+    ``fields`` are (name, type) pairs; a name that ``df`` has already gets underscores
+    before it. Rows stay where they are: nothing is shuffled.
+    """
+    names = [free_name(df, n) for n, _ in fields]
+    at = next(i for i, c in enumerate(df.columns) if c.lower() == text)
+    columns, out = [*df.columns, *names], df.columns[at]
+    df = df.withColumn(out, F.col(f"`{out}`").cast("string"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, out):
+            yield pa.RecordBatch.from_arrays([*part.columns, *verdicts(part.column(at).to_pylist())], columns)
+
+    kinds = [*df.dtypes, *((n, k) for n, (_, k) in zip(names, fields))]
+    return map_arrow(df, run, ", ".join(f"`{c}` {k}" for c, k in kinds))

@@ -15,7 +15,7 @@ chosen path is followed back inside each block.
 Null texts and texts without a letter are ``und`` with score 0 and no spans, as are
 all texts where nothing was learned. Ties go to the language that sorts first.
 Repeated rows get a row each; rows with a null lang teach nothing; an empty table
-gives no rows. Other columns of the input are not read.
+gives no rows. Further columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.common import map_arrow, slices
+from critiq.llm.common import add_columns, map_arrow, slices
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -195,39 +195,33 @@ SPANS = "array<struct<start: int, end: int, lang: string>>"
 
 
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """doc_id, lang_pred, score (share of the letters in it) and spans (places in the text) of each row."""
+    """``docs`` with lang_pred, score (share of the letters in it) and spans (places in the text)."""
     langs, k = model.langs, len(model.langs)
     names = np.array([*langs, UNDETERMINED], object)
     # The model (buckets x languages x 4 bytes, a fixed bound) travels as one broadcast.
     shared = docs.sparkSession.sparkContext.broadcast((model.score, model.banned))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def verdicts(texts: list[str | None]) -> list[pa.Array]:
         by_bucket, banned = shared.value
-        for part in slices(batches, "text"):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            w = words_of(texts)
-            n = len(texts)
-            if k and len(w.first):
-                score = np.add.reduceat(by_bucket[w.bucket].astype(np.float64), w.first, axis=0) + banned[w.script]
-                state = viterbi(score, w.ptr, switch)
-                share = np.bincount(w.doc * k + state, w.letters, n * k).reshape(n, k)
-            else:
-                state, share = np.zeros(len(w.first), np.int64), np.zeros((n, max(k, 1)))
-            all_letters = share.sum(1)
-            best = np.where(all_letters > 0, share.argmax(1), k)
-            certain = np.divide(share.max(1), all_letters, out=np.zeros(n), where=all_letters > 0)
-            # Spans: words of one text with one state on end.
-            new = np.ones(len(state), bool)
-            new[1:] = (state[1:] != state[:-1]) | (w.doc[1:] != w.doc[:-1])
-            at = np.flatnonzero(new) if k else np.zeros(0, np.int64)
-            last = np.append(at[1:], len(state))[:len(at)] - 1
-            spans = pa.StructArray.from_arrays(
-                [pa.array(w.start[at].astype(np.int32)), pa.array((w.start[last] + w.letters[last]).astype(np.int32)),
-                 pa.array(list(names[state[at]]), pa.string())], ["start", "end", "lang"])
-            ends = np.searchsorted(w.doc[at], np.arange(n + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(list(names[best]), pa.string()), pa.array(certain),
-                 pa.ListArray.from_arrays(pa.array(ends), spans)], ["doc_id", "lang_pred", "score", "spans"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, f"doc_id long, lang_pred string, score double, spans {SPANS}")
+        w, n = words_of([t or "" for t in texts]), len(texts)
+        if k and len(w.first):
+            score = np.add.reduceat(by_bucket[w.bucket].astype(np.float64), w.first, axis=0) + banned[w.script]
+            state = viterbi(score, w.ptr, switch)
+            share = np.bincount(w.doc * k + state, w.letters, n * k).reshape(n, k)
+        else:
+            state, share = np.zeros(len(w.first), np.int64), np.zeros((n, max(k, 1)))
+        all_letters = share.sum(1)
+        best = np.where(all_letters > 0, share.argmax(1), k)
+        certain = np.divide(share.max(1), all_letters, out=np.zeros(n), where=all_letters > 0)
+        # Spans: words of one text with one state on end.
+        new = np.ones(len(state), bool)
+        new[1:] = (state[1:] != state[:-1]) | (w.doc[1:] != w.doc[:-1])
+        at = np.flatnonzero(new) if k else np.zeros(0, np.int64)
+        last = np.append(at[1:], len(state))[:len(at)] - 1
+        spans = pa.StructArray.from_arrays(
+            [pa.array(w.start[at].astype(np.int32)), pa.array((w.start[last] + w.letters[last]).astype(np.int32)),
+             pa.array(list(names[state[at]]), pa.string())], ["start", "end", "lang"])
+        ends = np.searchsorted(w.doc[at], np.arange(n + 1)).astype(np.int32)
+        return [pa.array(list(names[best]), pa.string()), pa.array(certain), pa.ListArray.from_arrays(pa.array(ends), spans)]
+
+    return add_columns(docs, "text", [("lang_pred", "string"), ("score", "double"), ("spans", SPANS)], verdicts)

@@ -10,10 +10,12 @@
    all pairs. Set sizes and the joint likelihood of two sketches (three counts:
    larger, smaller, equal registers) drop pairs that are far below the threshold.
 4. Candidates are verified on the full sets, computed from the texts again.
-5. Buckets that still hold several components get an exact pass: every member
-   outside the bucket's largest component is compared with all members of other
-   components by sketch, in blocks of bounded size. What passes is verified too. So
-   no pair that shares a bucket and could join two components goes untested.
+5. In buckets that still hold several components, the members outside the largest
+   one are tried with hashed members of it, for PIVOT_ROUNDS rounds. Then an exact
+   pass compares what is still outside with all members of other components by
+   sketch, in blocks of bounded size, each pair in the first band it shares. What
+   passes is verified too. So no pair that shares a bucket and could join two
+   components goes untested, and a large group of near copies is not paired out.
 
 Texts without words, null texts and null ids are linked with nothing; their
 component is their own doc_id. A text with fewer words than a shingle is one shingle.
@@ -43,7 +45,11 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65_534
 #: Members of a bucket that meet in one task of the exact pass.
 BLOCK = 2_048
 #: Standard deviations that an estimate may lie below the threshold.
-SLACK = 5.0
+SLACK = 4.0
+#: Rounds of hashed members of the largest component, each with two of them, before the exact pass.
+PIVOT_ROUNDS = 3
+#: Bits of the filter that keeps texts without candidates from being shuffled: 16 MB, whatever the input.
+FILTER_BITS = 1 << 27
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -196,16 +202,16 @@ def sketch_table(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """id, size and bucket of every band of every class (id, size, sketch)."""
+    """id, size, band and bucket of every band of every class (id, size, sketch)."""
     width = 2 * ROWS
     bands = F.explode(F.sequence(F.lit(0), F.lit(M // ROWS - 1))).alias("band")
     return classes.select("id", "size", "sketch", bands).select(
-        "id", "size", F.expr(f"xxhash64(band, substring(sketch, band * {width} + 1, {width}))").alias("bucket"))
+        "id", "size", "band", F.expr(f"xxhash64(band, substring(sketch, band * {width} + 1, {width}))").alias("bucket"))
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of class ids that the sketches leave, with both set sizes."""
-    side = classes.select("id", "size", "sketch")
+    side = classes.select("id", "size", "sketch").hint("merge")
     full = (pairs.join(side.toDF("a", "size_a", "sketch_a"), "a").join(side.toDF("b", "size_b", "sketch_b"), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,12 +225,39 @@ def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_arrow(full, run, "a long, b long")
 
 
+def _texts_of(ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """id and text of the rows whose id is in ``ids``, and of few others.
+
+    The ids set bits of a filter of fixed size, which every task holds against its rows,
+    so only texts that are needed are shuffled. More ids than bits only let more through.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    bits = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    found = np.zeros(FILTER_BITS // 8, np.uint8)
+    for bucket, part in bits:
+        found[(bucket - 1) * len(part):bucket * len(part)] = np.frombuffer(bytes(part), np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in batches:
+            # bitmap_bucket_number counts from 1 and bitmap_bit_position from 0, both by place
+            at = p.column("place").to_numpy()
+            yield p.select(["id", "text"]).filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    bit = F.expr("(bitmap_bucket_number(place) - 1) * 32768 + bitmap_bit_position(place)")
+    placed = rows.select("id", "text", place.alias("place")).select("id", "text", bit.alias("place"))
+    return map_arrow(placed, run, "id long, text string")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union.
 
     The texts of the second ids arrive in the order of the join, so a text that many
-    pairs share is turned into its set once per batch.
+    pairs share is turned into its set once per batch. Texts are merge-joined: either
+    side grows with the input.
     """
+    texts = texts.hint("merge")
     full = (pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,21 +278,34 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return map_arrow(full, run, "a long, b long")
 
 
-def _exact_pass(bands: DataFrame, classes: DataFrame, parts: DataFrame, percent: int, stages: Stages) -> DataFrame:
-    """Pairs over components inside buckets that the sketches leave.
-
-    ``parts`` has (id, component) of the linked classes; others are their own. The
-    members of a bucket outside its largest component (few) meet all its members, in
-    blocks of at most BLOCK on either side.
-    """
-    inside = bands.join(parts, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("component"))
+def _mixed(bands: DataFrame, parts: DataFrame) -> DataFrame:
+    """id, band, bucket and component of the members of buckets with several components, with the
+    bucket's largest component and its number of blocks. Classes without a link are their own part."""
+    inside = bands.join(parts, "id", "left").select("id", "band", "bucket", F.coalesce("component", "id").alias("component"))
     per = inside.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = (per.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
              .where("parts > 1").select("bucket", F.col("most.component").alias("largest"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    members = stages.save(inside.join(mixed, "bucket").join(classes.select("id", "size", "sketch"), "id")
+    return inside.join(mixed, "bucket")
+
+
+def _pivots(members: DataFrame, seed: int) -> DataFrame:
+    """Pairs of every member outside its bucket's largest component with two hashed members of that."""
+    pivot = members.where("component = largest").groupBy("bucket").agg(
+        *[F.min_by("id", F.xxhash64("id", F.lit(2 * seed + i))).alias(f"p{i}") for i in (0, 1)])
+    pairs = members.where("component <> largest").join(pivot, "bucket").select("id", F.explode(F.array("p0", "p1")).alias("p"))
+    return pairs.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
+
+
+def _exact_pass(members: DataFrame, classes: DataFrame, percent: int, stages: Stages) -> DataFrame:
+    """Pairs over components inside buckets that the sketches leave.
+
+    The members of a bucket outside its largest component (few) meet all its members,
+    in blocks of at most BLOCK on either side.
+    """
+    members = stages.save(members.join(classes.select("id", "size", "sketch"), "id")
                           .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "members")
     every = F.explode(F.expr("sequence(0, blocks - 1)"))
-    columns = ["bucket", "id", "component", "size", "sketch"]
+    columns = ["bucket", "band", "id", "component", "size", "sketch"]
     left = members.where("component <> largest").select(*columns, F.lit(True).alias("rest"), F.col("block").alias("i"), every.alias("j"))
     right = members.select(*columns, F.lit(False).alias("rest"), every.alias("i"), F.col("block").alias("j"))
     busy = left.select("bucket", "i", "j").distinct()
@@ -269,6 +315,8 @@ def _exact_pass(bands: DataFrame, classes: DataFrame, parts: DataFrame, percent:
         rest = np.array(t.column("rest").to_pylist(), bool)
         ids, part, size = (t.column(c).to_numpy() for c in ("id", "component", "size"))
         reg = _matrix(t.column("sketch"))
+        banded = reg.reshape(len(reg), -1, ROWS)
+        band = t.column("band")[0].as_py()
         out_a, out_b = [], []
         others = np.flatnonzero(~rest)
         for i in np.flatnonzero(rest):
@@ -276,6 +324,8 @@ def _exact_pass(bands: DataFrame, classes: DataFrame, parts: DataFrame, percent:
             if len(j):
                 # Equal registers alone bound the estimate from above; the likelihood decides on what is left.
                 j = j[(reg[j] == reg[i]).mean(1) >= _floor(percent) - 0.1]
+            if len(j):  # the first band that the pair shares
+                j = j[(banded[j] == banded[i]).all(2).argmax(1) == band]
             if len(j):
                 j = j[_possible(np.repeat(reg[i][None], len(j), 0), reg[j], np.repeat(size[i], len(j)), size[j], percent)]
                 out_a.append(np.maximum(ids[j], ids[i]))
@@ -299,7 +349,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     bands = _bands(classes)
     stars = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"),
                                         F.min_by("id", F.xxhash64("id")).alias("some")).where("n > 1")
-    stars = stages.save(bands.join(stars, "bucket").select("id", "bucket", "size", "low", "some"), "buckets")
+    stars = stages.save(bands.join(stars, "bucket").select("id", "band", "bucket", "low", "some"), "buckets")
     edge = [stars.select(F.col("id").alias("a"), F.col(c).alias("b")) for c in ("low", "some")]
     pairs = edge[0].union(edge[1]).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     candidates = stages.save(_filtered(pairs, classes, percent), "candidates")
@@ -307,14 +357,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     def links_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        return stages.save(_verified(pairs, texts.join(ids, "id", "left_semi"), k, percent), "links")
+        return stages.save(_verified(pairs, _texts_of(ids, texts), k, percent), "links")
 
-    links = links_of(candidates)
+    tested, links = candidates, links_of(candidates)
     parts = components(links, stages)
-    more = stages.save(_exact_pass(stars.select("id", "bucket"), classes, parts, percent, stages)
-                       .join(candidates, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        parts = components(links.union(links_of(more)), stages)
+    members = stages.save(_mixed(stars, parts), "mixed")
+    for seed in range(PIVOT_ROUNDS + 1):
+        last = seed == PIVOT_ROUNDS
+        pairs = _exact_pass(members, classes, percent, stages) if last else _pivots(members, seed)
+        pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+        pairs = stages.save(pairs if last else _filtered(pairs, classes, percent), "more")
+        if pairs.isEmpty():
+            continue
+        tested, links = tested.union(pairs), links.union(links_of(pairs))
+        parts = components(links, stages)
+        if not last:  # one component less may end a bucket's part in the rounds
+            members = stages.save(_mixed(members.select("id", "band", "bucket"), parts), "mixed")
     # From rows to the smallest doc_id: classes carry theirs, components take the least of their classes.
     named = classes.join(parts, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"), "doc_id")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from critiq.llm import licenses, merkle
 from critiq.llm.common import table
 
 
@@ -22,6 +23,12 @@ def id_remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.minhash import near_duplicates
 
@@ -31,9 +38,9 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.langid import fit, predict
 
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = id_remainder(4) == 2
-    out = predict(docs, fit(docs.where(~held_out)))
+    out = predict(docs.select("doc_id", "text"), fit(docs.where(~held_out)))
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
@@ -46,6 +53,26 @@ def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.vamana import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.htmltext import extract
+
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.merkle import fingerprints
+
+    rows = fingerprints(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                       "edited_fingerprint", "near_edited", "near_next")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.packing import pack
 
@@ -57,7 +84,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from critiq.llm.toxicity import fit, score
 
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = id_remainder(3) == 1
     lexicon = fit(docs, table(spark, sf_dir, "labels").where(~held_out))
     return score(docs, lexicon).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
@@ -92,12 +119,20 @@ FROM marked GROUP BY doc_id
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_minhash": op2_minhash,
     "op3_language_id": op3_language_id,
     "op4_piece_bpe": op4_piece_bpe,
+    "op5_vamana": op5_vamana,
+    "op6_html_text": op6_html_text,
+    "op7_merkle": op7_merkle,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {"op10_line_dedup": OP10_SQL}
+ORACLE: dict[str, str] = {
+    "op1_licenses": licenses.oracle_sql(),
+    "op7_merkle": merkle.oracle_sql(),
+    "op10_line_dedup": OP10_SQL,
+}
