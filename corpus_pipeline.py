@@ -8,11 +8,41 @@ under the shared checkpoint folder and reads again as the next stage's docs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from critiq.llm.common import Stages, table
+from critiq.llm import langid, linededup, minhash, toxicity
+from critiq.llm.common import Stages, free_name, table
 from critiq.llm.packing import CAPACITY, pack
 from critiq.llm.queries import tokenizer_file
-from pyspark.sql import functions as F
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3, fitted on the documents themselves: those without a language go."""
+    out = langid.predict(docs, langid.fit(docs))
+    return out.where(F.col(free_name(docs, "lang_pred")) != langid.UNDETERMINED).select(*docs.columns)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9, fitted on the labelled documents: toxic ones go."""
+    out = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return out.where(F.col(free_name(docs, "predicted")) == 0).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: shared lines go from all but one document; n_chars follows the text."""
+    out = linededup.dedup_lines(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2 on five-word shingles at 0.8: of a group, the first row stays.
+
+    Rows are told apart by their place in the stored table, so repeated ids are no trouble.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    verdict = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
+    gone = verdict.where("not kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +52,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("packing", packing)]
+STAGES = [("language_id", language_id), ("toxicity", toxicity_filter), ("line_dedup", line_dedup),
+          ("near_dedup", near_dedup), ("packing", packing)]
 
 #: Language ID, toxicity and tokenisation have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
