@@ -7,8 +7,8 @@
    shard above BLOCK classes is dealt by hash over base blocks, and each of its
    classes is a query to all of them, so a shard of any size is searched whole.
 3. In every block each class takes its nearest classes as candidates and robustly
-   prunes them to DEGREE neighbours. Lists of one class from several shards are
-   united.
+   prunes them to DEGREE neighbours; as many reverse edges are added. Lists of one
+   class from several shards are united.
 4. Every class is searched in its shards: a greedy beam search from the block's
    medoid (and from the class itself where it is in the block), then a range
    expansion over neighbours that are no more than SLACK below the threshold.
@@ -42,7 +42,7 @@ SAMPLE, CLUSTER, OVERLAP = 20_000, 2_000, 3
 #: Base classes of a block.
 BLOCK = 4_096
 #: Candidates of a class, neighbours it keeps, and the pruning factor.
-CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
+CANDIDATES, DEGREE, ALPHA = 96, 24, 1.2
 #: Beam of the greedy search, and how far below the threshold the range expansion goes on.
 BEAM, SLACK = 32, 0.05
 
@@ -149,7 +149,23 @@ def prune(x: np.ndarray) -> list[np.ndarray]:
             part = rows[i:i + 512]
             between = np.einsum("rkd,rd->rk", x[candidates[part]], x[chosen[i:i + 512]])
             alive[part] &= ALPHA * np.sqrt(np.maximum(2 - 2 * between, 0)) > np.sqrt(np.maximum(2 - 2 * near[part], 0))
-    return [np.array(a, np.int64) for a in kept]
+    return _with_reverse([np.array(a, np.int64) for a in kept])
+
+
+def _with_reverse(lists: list[np.ndarray]) -> list[np.ndarray]:
+    """Neighbour lists with up to DEGREE reverse edges each, those of the least pointed-to classes first,
+    so that a class which nobody kept can be reached."""
+    source = np.repeat(np.arange(len(lists)), [len(a) for a in lists])
+    target = np.concatenate(lists)
+    pointed = np.bincount(target, minlength=len(lists))
+    order = np.lexsort((source, pointed[source], target))
+    source, target = source[order], target[order]
+    ends = np.searchsorted(target, np.arange(len(lists) + 1))
+    out = []
+    for i, a in enumerate(lists):
+        back = source[ends[i]:ends[i + 1]]
+        out.append(np.concatenate([a, back[~np.isin(back, a)][:DEGREE]]))
+    return out
 
 
 def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, own: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
