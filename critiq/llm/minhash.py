@@ -13,9 +13,9 @@
 5. In buckets that still hold several components, the members outside the largest
    one are tried with hashed members of it, for PIVOT_ROUNDS rounds. Then an exact
    pass compares what is still outside with all members of other components by
-   sketch, in blocks of bounded size, each pair in the first band it shares. What
-   passes is verified too. So no pair that shares a bucket and could join two
-   components goes untested, and a large group of near copies is not paired out.
+   sketch, in blocks of bounded size, each pair in the first band it shares, and
+   verifies what passes on the full sets in the task. So no pair that shares a
+   bucket and could join two components goes untested, and no pairs are emitted.
 
 Texts without words, null texts and null ids are linked with nothing; their
 component is their own doc_id. A text with fewer words than a shingle is one shingle.
@@ -296,44 +296,67 @@ def _pivots(members: DataFrame, seed: int) -> DataFrame:
     return pairs.select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
 
 
-def _exact_pass(members: DataFrame, classes: DataFrame, percent: int, stages: Stages) -> DataFrame:
-    """Pairs over components inside buckets that the sketches leave.
-
-    The members of a bucket outside its largest component (few) meet all its members,
-    in blocks of at most BLOCK on either side.
+def _outside_pairs(t: pa.Table, reg: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member outside the largest component with the members of other components that the
+    sketches leave; a pair counts in the first band that it shares."""
+    rest = np.array(t.column("rest").to_pylist(), bool)
+    part, size = t.column("component").to_numpy(), t.column("size").to_numpy()
+    banded, band = reg.reshape(len(reg), -1, ROWS), t.column("band")[0].as_py()
+    others = np.flatnonzero(~rest)
+    for i in np.flatnonzero(rest):
+        j = others[part[others] != part[i]]
+        # Equal registers alone bound the estimate from above; the likelihood decides on what is left.
+        j = j[(reg[j] == reg[i]).mean(1) >= _floor(percent) - 0.1]
+        j = j[(banded[j] == banded[i]).all(2).argmax(1) == band]
+        if len(j):
+            j = j[_possible(np.repeat(reg[i][None], len(j), 0), reg[j], np.repeat(size[i], len(j)), size[j], percent)]
+        if len(j):
+            yield i, j
+
+
+def _exact_pass(members: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int, stages: Stages) -> DataFrame:
+    """Links over components inside buckets, one per member and component that it reaches.
+
+    The members of a bucket outside its largest component meet all its members, in
+    blocks of at most BLOCK on either side. A first pass by sketch says which members
+    have a pair that may be a link; a second gets the texts of those only and tests
+    their pairs on the full sets inside the task, so pairs themselves are never rows.
     """
     members = stages.save(members.join(classes.select("id", "size", "sketch"), "id")
                           .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "members")
-    every = F.explode(F.expr("sequence(0, blocks - 1)"))
+    every = F.explode(F.expr("sequence(0L, blocks - 1L)"))
     columns = ["bucket", "band", "id", "component", "size", "sketch"]
     left = members.where("component <> largest").select(*columns, F.lit(True).alias("rest"), F.col("block").alias("i"), every.alias("j"))
     right = members.select(*columns, F.lit(False).alias("rest"), every.alias("i"), F.col("block").alias("j"))
     busy = left.select("bucket", "i", "j").distinct()
     meet = left.unionByName(right.join(busy, ["bucket", "i", "j"], "left_semi"))
+    names = ["bucket", "i", "j", "band", "id", "component", "size", "rest"]
+
+    def likely(t: pa.Table) -> pa.Table:
+        needed = np.zeros(len(t), bool)
+        for i, j in _outside_pairs(t, _matrix(t.column("sketch")), percent):
+            needed[i] = needed[j] = True
+        return t.select(names).filter(pa.array(needed))
 
-    def run(t: pa.Table) -> pa.Table:
-        rest = np.array(t.column("rest").to_pylist(), bool)
-        ids, part, size = (t.column(c).to_numpy() for c in ("id", "component", "size"))
-        reg = _matrix(t.column("sketch"))
-        banded = reg.reshape(len(reg), -1, ROWS)
-        band = t.column("band")[0].as_py()
-        out_a, out_b = [], []
-        others = np.flatnonzero(~rest)
-        for i in np.flatnonzero(rest):
-            j = others[(part[others] != part[i]) & (100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i]))]
-            if len(j):
-                # Equal registers alone bound the estimate from above; the likelihood decides on what is left.
-                j = j[(reg[j] == reg[i]).mean(1) >= _floor(percent) - 0.1]
-            if len(j):  # the first band that the pair shares
-                j = j[(banded[j] == banded[i]).all(2).argmax(1) == band]
-            if len(j):
-                j = j[_possible(np.repeat(reg[i][None], len(j), 0), reg[j], np.repeat(size[i], len(j)), size[j], percent)]
-                out_a.append(np.maximum(ids[j], ids[i]))
-                out_b.append(np.minimum(ids[j], ids[i]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
-
-    return group_arrow(meet, ["bucket", "i", "j"], run, "a long, b long").distinct()
+    def verify(t: pa.Table) -> pa.Table:
+        sets = shingle_sets(t.column("text").combine_chunks(), k)
+        ids, part = t.column("id").to_numpy(), t.column("component").to_numpy()
+        out = []
+        for i, partners in _outside_pairs(t, sketches(sets), percent):
+            reached = set()
+            for j in partners:
+                if part[j] not in reached:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        reached.add(part[j])
+                        out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    kinds = "bucket long, i long, j long, band int, id long, component long, size long, rest boolean"
+    flagged = stages.save(group_arrow(meet, ["bucket", "i", "j"], likely, kinds), "flagged")
+    full = flagged.join(_texts_of(flagged.select("id").distinct(), texts).hint("merge"), "id")
+    return group_arrow(full, ["bucket", "i", "j"], verify, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -362,17 +385,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     tested, links = candidates, links_of(candidates)
     parts = components(links, stages)
     members = stages.save(_mixed(stars, parts), "mixed")
-    for seed in range(PIVOT_ROUNDS + 1):
-        last = seed == PIVOT_ROUNDS
-        pairs = _exact_pass(members, classes, percent, stages) if last else _pivots(members, seed)
-        pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
-        pairs = stages.save(pairs if last else _filtered(pairs, classes, percent), "more")
+    for seed in range(PIVOT_ROUNDS):
+        pairs = _pivots(members, seed).join(tested.hint("merge"), ["a", "b"], "left_anti")
+        pairs = stages.save(_filtered(pairs, classes, percent), "more")
         if pairs.isEmpty():
             continue
         tested, links = tested.union(pairs), links.union(links_of(pairs))
         parts = components(links, stages)
-        if not last:  # one component less may end a bucket's part in the rounds
-            members = stages.save(_mixed(members.select("id", "band", "bucket"), parts), "mixed")
+        members = stages.save(_mixed(members.select("id", "band", "bucket"), parts), "mixed")
+    last = stages.save(_exact_pass(members, classes, texts, k, percent, stages), "last")
+    if not last.isEmpty():
+        parts = components(links.union(last), stages)
     # From rows to the smallest doc_id: classes carry theirs, components take the least of their classes.
     named = classes.join(parts, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"), "doc_id")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
