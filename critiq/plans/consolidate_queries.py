@@ -1,8 +1,9 @@
 """Registered consolidation queries and their DuckDB oracles.
 
 Scenario on the provided data: the first collection run holds the reviews
-written before 1995-06-01 (``collected``); a second run re-collected one
-publisher (PUB_B) up to 1997-01-01 and is merged into the first (J7/J8).
+written before 1995-06-01 (``collected``). For the merge (J7/J8) two overlapping runs
+are split off the whole table by order number (FIXTURES.md §2): the old one lacks
+every third order, the new one the orders after those.
 """
 
 from __future__ import annotations
@@ -15,14 +16,16 @@ from critiq.plans.oracle_views import with_views
 from critiq.sources import tables
 from critiq.sources.tables import LISTING
 
-RECOLLECTED_PUBLISHER = "PUB_B"
-RECOLLECT_CUTOFF = "1997-01-01"
+# The new run covers these items only, so that items of the old run remain.
+NEW_RUN_ITEMS = 8
 
 
-def recollected(spark: SparkSession, sf: str) -> DataFrame:
-    r = tables.reviews(spark, sf)
-    limit = F.unix_timestamp(F.to_timestamp(F.lit(RECOLLECT_CUTOFF))).cast("bigint")
-    return r.filter((F.col("publisher") == RECOLLECTED_PUBLISHER) & (F.col("review_ts") < limit))
+def old_run(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.reviews(spark, sf).filter(F.col("l_orderkey") % 3 != 0)
+
+
+def new_run(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.reviews(spark, sf).filter((F.col("l_orderkey") % 3 != 1) & (F.col("umbrella_item") % NEW_RUN_ITEMS == 0))
 
 
 def fixture_signature() -> list:
@@ -41,11 +44,11 @@ def q_pending_items(spark, sf):
 
 
 def q_upsert_merge(spark, sf):
-    return C.upsert_merge(tables.collected(spark, sf), [recollected(spark, sf)], LISTING)
+    return C.upsert_merge(old_run(spark, sf), [new_run(spark, sf)], LISTING)
 
 
 def q_merge_conflicts(spark, sf):
-    return C.merge_conflicts(tables.collected(spark, sf), recollected(spark, sf), LISTING)
+    return C.merge_conflicts(old_run(spark, sf), new_run(spark, sf), LISTING)
 
 
 def q_format_dedup(spark, sf):
@@ -106,10 +109,8 @@ QUERIES = {
 _ORDER = "review_ts, l_orderkey, l_linenumber, review_item, l_suppkey, l_extendedprice"
 _SAME = "{a}.publisher = {b}.publisher AND {a}.version = {b}.version AND {a}.umbrella_item = {b}.umbrella_item"
 
-_NEW = ("new_rows", f"""
-SELECT * FROM reviews WHERE publisher = '{RECOLLECTED_PUBLISHER}'
-  AND review_ts < CAST(epoch(TIMESTAMP '{RECOLLECT_CUTOFF}') AS BIGINT)
-""")
+_OLD = ("old_rows", "SELECT * FROM reviews WHERE l_orderkey % 3 <> 0")
+_NEW = ("new_rows", f"SELECT * FROM reviews WHERE l_orderkey % 3 <> 1 AND umbrella_item % {NEW_RUN_ITEMS} = 0")
 
 _SIGS = ("sigs", f"""
 SELECT publisher, version, vrank, umbrella_item, sig_user, sig_item, n_reviews FROM (
@@ -130,18 +131,18 @@ ORACLE = {
 SELECT c.* FROM catalog c WHERE c.num_reviews > 0 AND NOT EXISTS (
   SELECT 1 FROM collected r WHERE r.publisher = c.publisher AND r.version = c.version AND r.umbrella_item = c.item)
 """),
-    "upsert_merge": with_views(["collected"], f"""
-SELECT o.* FROM collected o WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE {_SAME.format(a='n', b='o')})
+    "upsert_merge": with_views(["reviews"], f"""
+SELECT o.* FROM old_rows o WHERE NOT EXISTS (SELECT 1 FROM new_rows n WHERE {_SAME.format(a='n', b='o')})
 UNION ALL
 SELECT * FROM new_rows
-""", [_NEW]),
-    "merge_conflicts": with_views(["collected"], """
+""", [_OLD, _NEW]),
+    "merge_conflicts": with_views(["reviews"], """
 SELECT o.publisher, o.version, o.umbrella_item, o.n_old, n.n_new
-FROM (SELECT publisher, version, umbrella_item, count(*) AS n_old FROM collected GROUP BY ALL) o
+FROM (SELECT publisher, version, umbrella_item, count(*) AS n_old FROM old_rows GROUP BY ALL) o
 JOIN (SELECT publisher, version, umbrella_item, count(*) AS n_new FROM new_rows GROUP BY ALL) n
   ON o.publisher = n.publisher AND o.version = n.version AND o.umbrella_item = n.umbrella_item
 WHERE o.n_old > 0 AND o.n_old <> n.n_new
-""", [_NEW]),
+""", [_OLD, _NEW]),
     "format_dedup": with_views(["reviews"], """
 SELECT publisher, version, vrank, umbrella_item, n_reviews, sig_user, sig_item,
   CASE WHEN vrank = 0 THEN 'base' WHEN has_base = 1 THEN 'dup_of_base' WHEN rn = 1 THEN 'kept'

@@ -55,10 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share; "
+                         "a machine-local folder is chosen on a local master only")
+    if current:
+        return current
     if not configured:
         configured = tempfile.mkdtemp(prefix="critiq-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)

@@ -1,92 +1,64 @@
 """Incremental review ingestion with Structured Streaming (S8, J3, J5, J7 as a stream; Q40).
 
 Collection runs drop review files into a landing folder; runs overlap, so a
-review can arrive several times. The stream
-
-1. reads the landing folder as a file stream (new files only, per trigger),
-2. drops repeats of a review key within the event-time watermark
-   (``dropDuplicatesWithinWatermark``; state is bounded by the watermark),
-3. merges each micro-batch into the review table in ``foreachBatch``: keys
-   already in the table are skipped (anti join, J3/J5), the rest appended.
-
-The merge is idempotent: a re-run of a micro-batch after a failure appends
-nothing it has already written, and the stream's checkpoint lives in the
-shared checkpoint folder, so an executor or driver restart resumes where it
-stopped. ``trigger(availableNow=True)`` processes everything present and stops.
+review can arrive several times. The stream reads the folder (new files only)
+and merges each micro-batch into the review table in ``foreachBatch``: repeats
+inside the batch are dropped, keys the table holds already are skipped (anti
+join, J3/J5), the rest is appended.
+
+The merge alone makes the result exact. There is no watermark: event times say
+when a review was written, not when it arrived, so a watermark would discard
+reviews of older files. The target is partitioned by a bucket of the key, and a
+micro-batch reads only the buckets its own keys fall into. The merge is
+idempotent: a micro-batch that runs again after a failure appends nothing it has
+already written, and the stream's checkpoint lies in the shared folder.
+``trigger(availableNow=True)`` processes everything present and stops.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from critiq.session import stage_path
+BUCKET = "_bucket"
+
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-def merge_new_rows(target_path: str, key: Sequence[str]):
+
+def merge_new_rows(target_path: str, key: Sequence[str], buckets: int = 64):
     """foreachBatch function: append rows whose key the target table does not hold yet."""
     key = list(key)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.dropDuplicates(key)
-        try:
-            existing = spark.read.parquet(target_path).select(*key)
-            fresh = batch.join(existing, key, "left_anti")
-        except AnalysisException:  # first batch: the table does not exist yet
-            fresh = batch
-        fresh.write.mode("append").parquet(target_path)
+        fresh = batch.dropDuplicates(key).withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+        if path_exists(spark, f"{target_path}/_SUCCESS"):
+            # At most ``buckets`` numbers: the partitions of the target that this batch can meet.
+            touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
+            existing = spark.read.parquet(target_path).where(F.col(BUCKET).isin(touched)).select(*key, BUCKET)
+            fresh = fresh.join(existing, [*key, BUCKET], "left_anti")
+        fresh.write.mode("append").partitionBy(BUCKET).parquet(target_path)
 
     return merge
 
 
 def ingest(spark: SparkSession, landing: str, schema: StructType, key: Sequence[str], target: str,
-           checkpoint: str, event_time: str = "event_time", delay: str = "30 days",
-           files_per_trigger: int | None = None) -> DataFrame:
-    """Run the ingest stream over everything in ``landing`` and return the review table."""
+           checkpoint: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Run the ingest stream over everything in ``landing`` and return the review table.
+
+    ``files_per_trigger`` bounds a micro-batch; it does not change the result.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = (reader.parquet(landing)
-              .withWatermark(event_time, delay)
-              .dropDuplicatesWithinWatermark(list(key))
-              .drop(event_time))
-    # A new stream fixes its state-store count from spark.sql.shuffle.partitions
-    # at start; more stores than cores only adds per-batch overhead, so the
-    # count is capped at the default parallelism for this stream and restored.
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions",
-                   str(max(1, min(int(parts), spark.sparkContext.defaultParallelism))))
-    try:
-        q = (stream.writeStream.foreachBatch(merge_new_rows(target, key))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-    return spark.read.parquet(target)
-
-
-def land_overlapping_runs(reviews: DataFrame, landing: str, ts_col: str = "review_ts") -> list[int]:
-    """Write one landing batch per review year holding that year and the previous one, so every
-    review lands twice (overlapping collection runs). Returns the years written."""
-    years = sorted(r[0] for r in reviews.select(F.year(F.timestamp_seconds(ts_col))).distinct().collect())
-    yr = F.year(F.timestamp_seconds(ts_col))
-    staged = reviews.withColumn("event_time", F.timestamp_seconds(ts_col))
-    for y in years:
-        staged.filter(yr.isin(y - 1, y)).write.mode("append").parquet(landing)
-    return years
-
-
-def incremental_reviews(spark: SparkSession, reviews: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Q40 end to end: land overlapping runs derived from ``reviews``, stream-ingest them, return the table."""
-    run = stage_path(spark, f"ingest-{uuid.uuid4().hex}")
-    landing, target, ckpt = f"{run}/landing", f"{run}/reviews", f"{run}/_checkpoint"
-    land_overlapping_runs(reviews, landing)
-    schema = spark.read.parquet(landing).schema
-    return ingest(spark, landing, schema, key, target, ckpt, files_per_trigger=8)
+    q = (reader.parquet(landing).writeStream.foreachBatch(merge_new_rows(target, key))
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(target).drop(BUCKET)
