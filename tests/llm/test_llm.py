@@ -290,7 +290,7 @@ def test_toxicity_learns_folds_and_excepts(spark, odd, none):
         bad = i % 3 == 0
         if bad:
             w[5], w[9] = "grumbold" + str(rng.choice(["", "s", "ery"])), "Grumbold"
-        elif i % 3 == 1:
+        elif i % 30 == 1:  # rare enough among the clean texts for the word to be learned
             w[5:7] = ["grumbold", "harbour"]  # the phrase is clean
         rows.append((i, " ".join(w)))
         labels.append((i, int(bad)))
