@@ -47,24 +47,38 @@ def rake_phrases(docs: DataFrame, key: str = "doc_id", group_cols: Sequence[str]
 
 
 def group_scores(phrases: DataFrame, publisher: str = "publisher", version: str = "version",
-                 min_score: float | None = None) -> DataFrame:
+                 min_score: float | None = None, uses: str | None = None) -> DataFrame:
     """K3-K6: summed phrase scores per (publisher, keyword) and per (publisher, version, keyword).
 
     One aggregation with two grouping sets; ``version`` is NULL on publisher
-    rows. ``min_score`` applies F10 (the reference keeps scores > 1).
+    rows. ``min_score`` applies F10 (the reference keeps scores > 1). ``uses``
+    names a column with the number of texts that a row stands for (default 1).
     """
-    out = phrases.groupingSets(
+    n = F.col(uses) if uses else F.lit(1).cast("bigint")
+    out = phrases.withColumn("n_docs", n).withColumn("score", F.col("score") * F.col("n_docs")).groupingSets(
         [[publisher, "phrase"], [publisher, version, "phrase"]], publisher, version, "phrase"
-    ).agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n_docs"))
+    ).agg(F.sum("score").alias("score"), F.sum("n_docs").alias("n_docs"))
     if min_score is not None:
         out = out.filter(F.col("score") > min_score)
     return out
 
 
-def last_write_scores(phrases: DataFrame, key: str = "doc_id", publisher: str = "publisher") -> DataFrame:
-    """K5 as written in the reference: a keyword's score is the one of its last
+def title_scores(titles: DataFrame, reviews: DataFrame, item: str = "review_item", publisher: str = "publisher",
+                 version: str = "version", stopwords: list[str] | None = None) -> DataFrame:
+    """K3/K4: title keyword sums over all reviews, from ``titles`` (item, title).
+
+    Reviews of one item share its title, so RAKE runs once per item and meets the
+    review counts per (publisher, version, item), pre-summed in every task.
+    """
+    phrases = rake_phrases(titles, key=item, text_col="title", stopwords=stopwords).select(item, "phrase", "score")
+    uses = reviews.groupBy(item, publisher, version).agg(F.count(F.lit(1)).alias("uses"))
+    return group_scores(phrases.join(uses, item), publisher, version, uses="uses")
+
+
+def last_write_scores(phrases: DataFrame, key: str = "doc_id", group_cols: Sequence[str] = ("publisher",)) -> DataFrame:
+    """K5/K6 as written in the reference: a keyword's score is the one of its last
     occurrence in processing order (documents by key, phrases by position)."""
-    return phrases.groupBy(publisher, "phrase").agg(
+    return phrases.groupBy(*group_cols, "phrase").agg(
         F.max_by("score", F.struct(F.col(key), F.col("first_pos"))).alias("score"))
 
 
@@ -79,6 +93,7 @@ def top_k(scores: DataFrame, group_cols: Sequence[str], k: int = 10, score: str
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def ordered_keywords(scores: DataFrame, score: str = "score", tie: str = "phrase") -> DataFrame:
-    """All keywords by own score descending (global sort, range-partitioned)."""
-    return scores.orderBy(F.col(score).desc(), F.col(tie).asc())
+def ordered_keywords(scores: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
+                     tie: str = "phrase") -> DataFrame:
+    """All keywords by group and own score descending (global sort, range-partitioned)."""
+    return scores.orderBy(*group_cols, F.col(score).desc(), F.col(tie).asc())

@@ -5,6 +5,8 @@ Input: every document (all languages); publisher = lang, version = source.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from critiq.functions.text import STOPWORDS
@@ -39,11 +41,34 @@ def q_rake_last_write(spark, sf):
     return K.last_write_scores(_phrases(spark, sf)).withColumn("score", F.round("score", 6))
 
 
+def q_rake_last_write_version(spark, sf):
+    return K.last_write_scores(_phrases(spark, sf), group_cols=["publisher", "version"]).withColumn(
+        "score", F.round("score", 6))
+
+
+def _title_scores(spark, sf):
+    titles = tables.allow_list(spark, sf).select(F.col("item").alias("review_item"), "title")
+    return K.title_scores(titles, tables.reviews(spark, sf)).withColumn("score", F.round("score", 6))
+
+
+def q_title_keywords(spark, sf):
+    return _title_scores(spark, sf)
+
+
+def q_keywords_ordered(spark, sf):
+    text = K.group_scores(_phrases(spark, sf)).withColumn("score", F.round("score", 6))
+    both = text.withColumn("kind", F.lit("text")).unionByName(_title_scores(spark, sf).withColumn("kind", F.lit("title")))
+    return K.ordered_keywords(both.filter(F.col("version").isNull()).drop("version"), ["kind", "publisher"])
+
+
 QUERIES = {
     "rake_phrases": q_rake_phrases,
     "rake_by_group": q_rake_by_group,
     "rake_top10": q_rake_top10,
     "rake_last_write": q_rake_last_write,
+    "rake_last_write_version": q_rake_last_write_version,
+    "title_keywords": q_title_keywords,
+    "keywords_ordered": q_keywords_ordered,
 }
 
 
@@ -51,8 +76,17 @@ def _stop_list() -> str:
     return "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"
 
 
-def rake_ctes() -> list[tuple[str, str]]:
-    """DuckDB form of P3: phrase rows per document (see critiq.operators.keywords)."""
+def rake_ctes(docs: str = "docs", prefix: str = "") -> list[tuple[str, str]]:
+    """DuckDB form of P3: phrase rows per row of ``docs`` (see critiq.operators.keywords)."""
+    names = ["cands", "cand", "words", "wstat", "occ", "phr"]
+    ctes = _rake_ctes()
+    if docs != "docs":
+        ctes = [(n, re.sub(rf"\b(FROM|JOIN) ({'|'.join(names)})\b", rf"\1 {prefix}\2", sql).replace("FROM docs", f"FROM {docs}"))
+                for n, sql in ctes]
+    return [(prefix + n, sql) for n, sql in ctes]
+
+
+def _rake_ctes() -> list[tuple[str, str]]:
     return [
         ("cands", rf"""
 SELECT doc_id, publisher, version,
@@ -91,6 +125,16 @@ SELECT publisher, version, phrase, sum(score) AS score, count(*) AS n_docs FROM
 GROUP BY GROUPING SETS ((publisher, phrase), (publisher, version, phrase))
 """
 
+_TITLES = [
+    ("titles", "SELECT p_partkey AS doc_id, NULL AS publisher, NULL AS version, p_name AS text FROM part"),
+    *rake_ctes("titles", "t_"),
+    ("t_grouped", """
+SELECT r.publisher, r.version, p.phrase, sum(p.score) AS score, count(*) AS n_docs
+FROM reviews r JOIN t_phr p ON p.doc_id = r.review_item
+GROUP BY GROUPING SETS ((r.publisher, p.phrase), (r.publisher, r.version, p.phrase))
+"""),
+]
+
 ORACLE = {
     "rake_phrases": with_views(["docs"], """
 SELECT doc_id, publisher, version, phrase, round(score, 6) AS score, n_occurrences, first_pos, n_words FROM phr
@@ -107,4 +151,16 @@ SELECT publisher, phrase, score, n_docs, rank FROM (
     "rake_last_write": with_views(["docs"], """
 SELECT publisher, phrase, round(arg_max(score, doc_id), 6) AS score FROM phr GROUP BY publisher, phrase
 """, rake_ctes()),
+    "rake_last_write_version": with_views(["docs"], """
+SELECT publisher, version, phrase, round(arg_max(score, doc_id), 6) AS score FROM phr GROUP BY publisher, version, phrase
+""", rake_ctes()),
+    "title_keywords": with_views(["reviews"], """
+SELECT publisher, version, phrase, round(score, 6) AS score, n_docs FROM t_grouped
+""", _TITLES),
+    "keywords_ordered": with_views(["docs", "reviews"], """
+SELECT 'text' AS kind, publisher, phrase, round(score, 6) AS score, n_docs FROM grouped WHERE version IS NULL
+UNION ALL
+SELECT 'title', publisher, phrase, round(score, 6), n_docs FROM t_grouped WHERE version IS NULL
+ORDER BY kind, publisher, score DESC, phrase
+""", rake_ctes() + [("grouped", _GROUPED)] + _TITLES),
 }

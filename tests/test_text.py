@@ -130,3 +130,22 @@ def test_short_page_stop(spark):
     counts = spark.createDataFrame([("P", "V", 1, p, n) for p, n in [(1, 10), (2, 10), (3, 7), (4, 10)]],
                                    ["publisher", "version", "umbrella_item", "page", "n_records"])
     assert sorted(r.page for r in X.short_page_stop(counts).collect()) == [1, 2, 3]
+
+
+def test_title_keywords_orderings_and_last_write(spark):
+    """K3/K4 count a title once per review; T2 sorts by own score; K6 keeps the last text's score per version."""
+    titles = spark.createDataFrame([(1, "big red dog. red dog"), (2, "red dog"), (3, None), (4, "")], "review_item int, title string")
+    reviews = spark.createDataFrame([("a", "x", 1), ("a", "x", 1), ("a", "y", 1), ("a", "y", 2), ("b", "x", 3), ("b", "x", 4), ("b", "x", 9)],
+                                    "publisher string, version string, review_item int")
+    got = K.title_scores(titles, reviews, stopwords=[])
+    rows = {(r.publisher, r.version, r.phrase): (r.score, r.n_docs) for r in got.collect()}
+    assert rows == {("a", None, "big red dog"): (24.0, 3), ("a", None, "red dog"): (19.0, 4),
+                    ("a", "x", "big red dog"): (16.0, 2), ("a", "x", "red dog"): (10.0, 2),
+                    ("a", "y", "big red dog"): (8.0, 1), ("a", "y", "red dog"): (9.0, 2)}
+    scores = spark.createDataFrame([("b", "k", 1.0), ("a", "z", 2.0), ("a", "m", 2.0), ("a", "c", 9.0)], "publisher string, phrase string, score double")
+    assert [r.phrase for r in K.ordered_keywords(scores, ["publisher"]).collect()] == ["c", "m", "z", "k"]
+    seen = spark.createDataFrame([(1, "a", "x", "p", 5.0, 0), (2, "a", "x", "p", 3.0, 0), (3, "a", "y", "p", 4.0, 0)],
+                                 "doc_id int, publisher string, version string, phrase string, score double, first_pos int")
+    last = K.last_write_scores(seen, group_cols=["publisher", "version"])
+    assert {(r.version, r.score) for r in last.collect()} == {("x", 3.0), ("y", 4.0)}
+    assert K.title_scores(titles.limit(0), reviews, stopwords=[]).count() == 0
