@@ -11,8 +11,8 @@
    larger, smaller, equal registers) drop pairs that are far below the threshold.
 4. Candidates are verified on the full sets, computed from the texts again.
 5. In buckets that still hold several components, the members outside the largest
-   one are tried with hashed members of it, for PIVOT_ROUNDS rounds. Then an exact
-   pass compares what is still outside with all members of other components by
+   one are tried with hashed members of it, for at most PIVOT_ROUNDS rounds and while
+   a round links a PIVOT_YIELD of its pairs. Then an exact pass compares what is still outside with all members of other components by
    sketch, in blocks of bounded size, each pair in the first band it shares, and
    verifies what passes on the full sets in the task. So no pair that shares a
    bucket and could join two components goes untested, and no pairs are emitted.
@@ -48,6 +48,8 @@ BLOCK = 2_048
 SLACK = 4.0
 #: Rounds of hashed members of the largest component, each with two of them, before the exact pass.
 PIVOT_ROUNDS = 3
+#: Share of a round's pairs that must be links for another round; the exact pass tests whatever is left.
+PIVOT_YIELD = 0.05
 #: Bits of the filter that keeps texts without candidates from being shuffled: 16 MB, whatever the input.
 FILTER_BITS = 1 << 27
 
@@ -382,20 +384,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         return stages.save(_verified(pairs, _texts_of(ids, texts), k, percent), "links")
 
-    tested, links = candidates, links_of(candidates)
-    parts = components(links, stages)
+    def joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+        """Components after further links: the stars of the present ones stand for all links so far."""
+        stars = parts.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return components(stars.union(links), stages)
+
+    tested = candidates
+    parts = components(links_of(candidates), stages)
     members = stages.save(_mixed(stars, parts), "mixed")
     for seed in range(PIVOT_ROUNDS):
         pairs = _pivots(members, seed).join(tested.hint("merge"), ["a", "b"], "left_anti")
         pairs = stages.save(_filtered(pairs, classes, percent), "more")
-        if pairs.isEmpty():
-            continue
-        tested, links = tested.union(pairs), links.union(links_of(pairs))
-        parts = components(links, stages)
-        members = stages.save(_mixed(members.select("id", "band", "bucket"), parts), "mixed")
+        links = links_of(pairs)
+        tried, found = pairs.count(), links.count()
+        if found:
+            tested, parts = tested.union(pairs), joined(parts, links)
+            members = stages.save(_mixed(members.select("id", "band", "bucket"), parts), "mixed")
+        if found <= PIVOT_YIELD * tried:
+            break
     last = stages.save(_exact_pass(members, classes, texts, k, percent, stages), "last")
     if not last.isEmpty():
-        parts = components(links.union(last), stages)
+        parts = joined(parts, last)
     # From rows to the smallest doc_id: classes carry theirs, components take the least of their classes.
     named = classes.join(parts, "id", "left").select("high", "low", F.coalesce("component", "id").alias("component"), "doc_id")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
