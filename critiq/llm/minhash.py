@@ -234,22 +234,19 @@ def _texts_of(ids: DataFrame, rows: DataFrame) -> DataFrame:
     so only texts that are needed are shuffled. More ids than bits only let more through.
     """
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    bits = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    bits = ids.select(place.alias("place")).groupBy(F.expr("place div 32768").alias("bucket")) \
+        .agg(F.bitmap_construct_agg(F.expr("place % 32768")).alias("bits")).collect()
     found = np.zeros(FILTER_BITS // 8, np.uint8)
-    for bucket, part in bits:
-        found[(bucket - 1) * len(part):bucket * len(part)] = np.frombuffer(bytes(part), np.uint8)
+    for bucket, part in bits:  # bitmap_construct_agg gives 32768 bits; places count from 0
+        found[bucket * len(part):(bucket + 1) * len(part)] = np.frombuffer(bytes(part), np.uint8)
     shared = rows.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in batches:
-            # bitmap_bucket_number counts from 1 and bitmap_bit_position from 0, both by place
             at = p.column("place").to_numpy()
             yield p.select(["id", "text"]).filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
 
-    bit = F.expr("(bitmap_bucket_number(place) - 1) * 32768 + bitmap_bit_position(place)")
-    placed = rows.select("id", "text", place.alias("place")).select("id", "text", bit.alias("place"))
-    return map_arrow(placed, run, "id long, text string")
+    return map_arrow(rows.select("id", "text", place.alias("place")), run, "id long, text string")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:

@@ -112,6 +112,16 @@ def test_sketch_estimates_and_merges():
         assert abs(minhash.estimate(r[:1], r[1:2], np.array([len(a)]), np.array([len(b)]))[0] - share) < 0.17
 
 
+def test_text_filter_holds_every_place(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FILTER_BITS", 1 << 16)
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 16))
+    ids = spark.range(1 << 20).where(place.isin(0, 1, 32767, 32768, 65535))
+    assert {r[0] for r in ids.select(place).distinct().collect()} == {0, 1, 32767, 32768, 65535}
+    got = minhash._texts_of(ids, spark.range(1 << 17).withColumn("text", F.col("id").cast("string"))).collect()
+    assert {r["id"] for r in got} == {r["id"] for r in ids.where(F.col("id") < 1 << 17).collect()}
+    assert all(r["text"] == str(r["id"]) for r in got)
+
+
 # ---- 3 language ---------------------------------------------------------------------------------
 
 def test_language_held_out_and_spans(spark, docs, odd, none):
