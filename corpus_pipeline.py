@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from critiq.llm import langid, linededup, minhash, toxicity
-from critiq.llm.common import Stages, free_name, table
+from critiq.llm.common import Stages, free_name, table, with_row_id
 from critiq.llm.packing import CAPACITY, pack
 from critiq.llm.queries import tokenizer_file
 
@@ -37,12 +37,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2 on five-word shingles at 0.8: of a group, the first row stays.
 
-    Rows are told apart by their place in the stored table, so repeated ids are no trouble.
+    Rows are told apart by a number that is written with them once, so repeated ids are no trouble.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    verdict = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
-    gone = verdict.where("not kept").select(F.col("doc_id").alias("_row"))
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    stages, row = Stages(spark, "near-dedup"), free_name(docs, "row")
+    rows = stages.save(with_row_id(docs, row), "rows")
+    numbered = rows.select(F.col(row).alias("row"), F.col(row).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    gone = minhash.near_rows(numbered, 5, 80, stages).where("not kept").select(F.col("doc_id").alias(row))
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

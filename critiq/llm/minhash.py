@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.common import Stages, group_arrow, map_arrow, slices, utf8_views
+from critiq.llm.common import Stages, group_arrow, map_arrow, slices, utf8_views, with_row_id
 from critiq.llm.components import components
 
 #: Registers of a sketch, and registers of a band: a pair at similarity 0.8 misses all
@@ -359,10 +359,18 @@ def _exact_pass(members: DataFrame, classes: DataFrame, texts: DataFrame, k: int
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
+
+    Rows are numbered and written once: a number given anew by each job that reads
+    ``docs`` would follow the splits of that job.
+    """
     stages = Stages(docs.sparkSession, "minhash")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .withColumn("row", F.monotonically_increasing_id())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return near_rows(stages.save(with_row_id(rows, "row"), "rows"), k, percent, stages)
+
+
+def near_rows(rows: DataFrame, k: int, percent: int, stages: Stages) -> DataFrame:
+    """``near_duplicates`` of a stored table (row, doc_id, text) whose rows carry their number."""
     sketched = stages.save(sketch_table(rows, k), "sketches")
     usable = sketched.where("size > 0 and doc_id is not null")
     # One class per set: its smallest row stands for it; the sketch is the same for all its rows.

@@ -112,6 +112,39 @@ def test_sketch_estimates_and_merges():
         assert abs(minhash.estimate(r[:1], r[1:2], np.array([len(a)]), np.array([len(b)]))[0] - share) < 0.17
 
 
+def test_rows_keep_their_number_when_splits_change(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(2000)]
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(60)]
+    rows = [(i, texts[i % 60] + (" end" if i >= 60 else "")) for i in range(120)]
+    for i in range(6):  # files of different sizes, which Spark deals out by size
+        part = rows[i * (i + 1) * 3:(i + 1) * (i + 2) * 3] if i < 5 else rows[90:]
+        spark.createDataFrame(part, "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    splits = itertools.cycle(["4k", "128m"])
+    plain = minhash._texts_of
+
+    def texts_of(ids, rows):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(splits))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        return plain(ids, rows)
+
+    monkeypatch.setattr(minhash, "_texts_of", texts_of)
+    try:
+        source = spark.read.parquet(str(tmp_path / "docs"))
+        got = minhash.near_duplicates(source, 2, 80).collect()
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == \
+            sorted((i, 59 + (i >= 60), i % 60, i < 60) for i in range(120))
+        left = corpus_pipeline.near_dedup(spark, source, SF_SMALL)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        assert sorted(int(zlib.crc32(r["text"].removesuffix(" end").encode())) for r in left.collect()) == \
+            sorted(zlib.crc32(t.encode()) for t in texts)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_text_filter_holds_every_place(spark, monkeypatch):
     monkeypatch.setattr(minhash, "FILTER_BITS", 1 << 16)
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 16))
