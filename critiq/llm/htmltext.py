@@ -1,8 +1,9 @@
 """Operator 6: main text of web pages by composite text density.
 
 The page becomes a tree of elements. Elements that are never article text by their
-kind (navigation, forms, scripts, ...) or by a word of their class, id or role
-(adverts, notices, comments, ...) are cut off. Every remaining node has the
+kind (navigation, forms, scripts, ...) or by a whole name in their class, id or role
+(adverts, notices, comments, ...) are cut off. A name gives way where it would cut off
+the only article or most of the page's text, or leave little. Every remaining node has the
 characters and tags below it, and those inside links; its composite density is
 characters per tag, adjusted by the share of link characters and tags. A node's
 density sum is that of its children. The node with the largest sum is the main
@@ -18,6 +19,7 @@ give a row each; an empty table gives no rows. Further columns are not read.
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -47,6 +49,20 @@ CUT_WORDS = set("ad ads adv advert advertisement adverts advertising alert banne
                 "message modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup privacy "
                 "promo promotion promoted recommend recommended related reply replies respond search share sharing sidebar sidebars signup "
                 "skip social sponsor sponsored subscribe subscription tags toc toolbar topbar widget widgets".split())
+#: Words of elements that have much text of their own: their names never give way to the amount of text.
+OWN_WORDS = set("ad ads adv advert advertisement adverts advertising comment comments consent cookie cookies disqus gdpr reply replies "
+                "respond sponsor sponsored".split())
+#: Names of several words: cut words only, one of these and a word for a box, or one of the closed list.
+BOXED_WORDS = OWN_WORDS | set("breadcrumb breadcrumbs footer menu menubar modal nav navbar navigation newsletter pager pagination paywall popup "
+                              "promo share sharing sidebar signup social subscribe toolbar topbar".split())
+BOX_WORDS = set("area bar block body box button buttons container form icons inner item items link links list panel section slot thread "
+                "unit wrap wrapper".split())
+COMPOUNDS = {f"{a}-{b}" for first, second in (
+    ("site global primary secondary main", "header footer nav navbar navigation menu sidebar banner search breadcrumb breadcrumbs"),
+    ("post article entry page", "comments footer nav navigation pagination share sharing social tags related sidebar"),
+    ("related", "articles links news posts reading stories")) for a in first.split() for b in second.split()}
+#: Characters outside links below which the cut leaves little.
+LITTLE = 100
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -54,23 +70,25 @@ _WORDS = re.compile(r"[a-zA-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "parts", "cut", "names", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: "Node | None", cut: bool):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: "Node | None", cut: bool, names: frozenset = frozenset()):
+        self.tag, self.parent, self.cut, self.names = tag, parent, cut, names
         self.parts: list = []  # texts and nodes, in order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _named_away(attributes: str) -> bool:
-    """Does a word of class, id or role say that the element is no article text?"""
+def _cut_names(attributes: str) -> frozenset:
+    """Words of the names in class, id and role that say the element is no article text."""
+    out = set()
     for m in _NAMES.finditer(attributes):
-        names = html.unescape(m[2] or m[3] or m[4] or "")
-        for name in names.lower().split():
-            if name in CUT_WORDS or any(w in CUT_WORDS for w in _WORDS.findall(name)):
-                return True
-    return False
+        for name in html.unescape(m[2] or m[3] or m[4] or "").lower().split():
+            words = _WORDS.findall(name)
+            if name in CUT_WORDS or words and all(w in CUT_WORDS for w in words) or "-".join(words) in COMPOUNDS \
+                    or len(words) == 2 and words[0] in BOXED_WORDS and words[1] in BOX_WORDS:
+                out |= set(words)
+    return frozenset(out)
 
 
 def parse(page: str) -> Node:
@@ -101,12 +119,13 @@ def parse(page: str) -> Node:
             now = _end_open(now, {"p"}, {"#root", "body", "td", "th", "li", "div", "article", "section", "blockquote", "button"})
         if tag in ENDS:
             now = _end_open(now, ENDS[tag], SCOPES[tag] | {"#root"})
-        cut = tag in CUT_TAGS or _named_away(m[3]) and tag not in ("html", "body", "article", "main")
+        names = _cut_names(m[3])
+        cut = tag in CUT_TAGS or bool(names) and tag not in ("html", "body", "article", "main")
         if tag in RAW and not m[3].endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
-        node = Node(tag, now, cut)
+        node = Node(tag, now, cut, names)
         now.parts.append(node)
         if tag not in VOID and not (m[3].endswith("/") and tag not in BLOCKS):
             now = node
@@ -123,6 +142,44 @@ def _end_open(now: Node, tags: set[str], scope: set[str]) -> Node:
     return now
 
 
+def _restore(body: Node) -> None:
+    """Take back cuts by name that hold the only article, most of the text, or nearly all that there is."""
+    order, todo = [], [(body, False, False)]
+    while todo:
+        node, linked, below = todo.pop()
+        below = below or node.cut
+        order.append((node, linked or node.tag == "a", below))
+        todo += [(p, order[-1][1], below) for p in node.parts if isinstance(p, Node) and p.tag not in CUT_TAGS]
+    if not any(below for _, _, below in order):
+        return
+    own = {id(n): 0 if linked else sum(len(" ".join(p.split())) for p in n.parts if isinstance(p, str)) for n, linked, _ in order}
+    plain = dict(own)
+    for node, _, _ in reversed(order):
+        if node is not body:
+            plain[id(node.parent)] += plain[id(node)]
+    articles = [(n, below) for n, _, below in order if n.tag in ("article", "main") and plain[id(n)]]
+    if articles and all(below for _, below in articles):
+        for up, _ in articles:
+            up = None if up.names else up  # a comment or teaser may be an article element too
+            while up is not None and up is not body:
+                up.cut, up = False, up.parent
+    for node, _, _ in order:
+        if node.cut and not node.names & OWN_WORDS and 2 * plain[id(node)] > plain[id(body)]:
+            node.cut = False
+    left, article, heap, todo = 0, False, [], [body]
+    while todo or heap and left < LITTLE and not article:
+        # The uncut first; then the largest cut element, and what is uncut in it.
+        node = todo.pop() if todo else heapq.heappop(heap)[-1]
+        node.cut = False
+        left += own[id(node)]
+        article = article or node.tag in ("article", "main") and plain[id(node)] > 0
+        for p in node.parts:
+            if id(p) in own and not p.cut:
+                todo.append(p)
+            elif id(p) in own and not p.names & OWN_WORDS and plain[id(p)] > left:
+                heapq.heappush(heap, (-plain[id(p)], id(p), p))
+
+
 def _count(root: Node) -> list[Node]:
     """Fill characters and tags of the nodes that are not cut off; children before parents."""
     order, todo = [], [(root, False)]
@@ -180,6 +237,7 @@ def content(page: str) -> str:
     body = next((n for n in _walk(root) if n.tag == "body"), root)
     if body.cut:
         return ""
+    _restore(body)
     densities(root, body)
     inner = [n for n in _walk(body) if n.chars]
     if not inner:

@@ -257,6 +257,29 @@ def test_main_text(page, text):
     assert htmltext.content(page) == text
 
 
+@pytest.mark.parametrize("wrapper", ["class='content no-sidebar'", "class=layout-sidebar-right", "class='has-header'", "class=page-with-ads",
+                                     "id=main-header-wrap", "class='page sidebar'", "class=widget", "id='footer'", "role=dialog"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrapper_names_leave_the_article(wrapper, tag):
+    text = "<h1>Title</h1><p>" + "word " * 60 + "</p><div class=key-message><p>" + "key " * 40 + "</p></div><p class=privacy-law>" + "law " * 40 + "</p>"
+    page = f"<body><div class=site-header><a href=/>Home</a></div><div {wrapper}><{tag}>{text}</{tag}><div class=share-buttons><p>Tell others</p></div>" \
+           "<div class=comments><p>" + "remark " * 20 + "</p></div></div><div class=cookie-notice><p>" + "accept " * 20 + "</p></div></body>"
+    assert htmltext.content(page) == "\n".join(["Title", ("word " * 60).strip(), ("key " * 40).strip(), ("law " * 40).strip()])
+
+
+def test_names_that_still_cut():
+    long = "<p>" + "remark " * 300 + "</p>"
+    for away in (f"<section id=comments>{long}</section>", f"<div id=comments><article class=comment-body>{long}</article></div>",
+                 f"<div class=cookie-bar>{long}</div>", "<div class=related-posts><article><p>Teaser</p></article></div>"):
+        for tag in ("article", "div"):
+            page = f"<body><{tag}><p>{'word ' * 40}</p><p>{'more ' * 40}</p></{tag}>{away}</body>"
+            if tag == "article" or "Teaser" not in away:
+                assert htmltext.content(page) == ("word " * 40).strip() + "\n" + ("more " * 40).strip()
+    assert htmltext.content("<body><div class=notice><p>Short</p></div></body>") == "Short"
+    assert htmltext.content("<body><div class=cookie-notice><p>accept</p></div></body>") == ""
+    assert htmltext.content("<div class=sidebar>" * 300 + "deep") == "deep"
+
+
 def test_pages_against_cut_article(spark):
     import html
 
