@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline, and their DuckDB SQL."""
+"""Registered queries of the operators and the pipeline, and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import licenses, merkle
+from critiq.llm import collocations, licenses, merkle
 from critiq.llm.common import table
 
 
@@ -97,6 +97,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 OP10_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
@@ -129,10 +133,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
     "op7_merkle": merkle.oracle_sql(),
     "op10_line_dedup": OP10_SQL,
+    "op12_collocations": collocations.oracle_sql(),
 }
