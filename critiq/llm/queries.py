@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import collocations, licenses, merkle
+from critiq.llm import collocations, licenses, merkle, pivotcodes
 from critiq.llm.common import table
 
 
@@ -97,6 +97,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_pivot_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotcodes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_pivot_codes": op11_pivot_codes,
     "op12_collocations": op12_collocations,
 }
 
@@ -140,5 +146,6 @@ ORACLE: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
     "op7_merkle": merkle.oracle_sql(),
     "op10_line_dedup": OP10_SQL,
+    "op11_pivot_codes": pivotcodes.oracle_sql(),
     "op12_collocations": collocations.oracle_sql(),
 }
