@@ -106,6 +106,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critiq.llm.quality import fit, judge
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 OP10_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
@@ -140,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_pivot_codes": op11_pivot_codes,
     "op12_collocations": op12_collocations,
+    "op13_quality": op13_quality,
 }
 
 ORACLE: dict[str, str] = {
