@@ -145,7 +145,7 @@ class Codebooks:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), flat.size // max(len(column), 1))
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], pivots: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -185,7 +185,7 @@ def _sums(rows: DataFrame, books: Codebooks) -> DataFrame:
 def fit(rows: DataFrame, entries: np.ndarray, pivots: np.ndarray, rounds: int = ROUNDS) -> Codebooks:
     """Codebooks after the given rounds over ``rows`` (embedding, away), from the first ``entries``."""
     books = Codebooks(entries, pivots)
-    for _ in range(rounds):
+    for _ in range(rounds if entries.size else 0):
         new = books.entries.astype(object)
         for r in _sums(rows, books).collect():  # at most parts x entries rows
             new[r["part"], r["entry"]] = [int(s) // r["n"] for s in r["sums"]]
@@ -240,8 +240,9 @@ def codes(vectors: DataFrame, stages: Stages | None = None) -> DataFrame:
 def with_label_error(coded: DataFrame, stages: Stages) -> DataFrame:
     """``coded`` with the sum of its errors over rows with an equal label, nulls together."""
     own = stages.save(coded, "codes")
-    sums = own.groupBy("label").agg(F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(Decimal(LARGEST))).cast("long").alias("label_error"))
-    sums = stages.save(sums.withColumnRenamed("label", "of"), "labels")
+    sums = own.groupBy(F.col("label").alias("of")).agg(F.sum(F.col("error").cast("decimal(38,0)")).alias("s"))
+    label_error = F.when(F.col("s") > Decimal(LARGEST), F.lit(LARGEST)).otherwise(F.col("s").cast("long"))
+    sums = stages.save(sums.select("of", label_error.alias("label_error")), "labels")
     size = sums.agg(F.count("*").alias("n"), F.sum(F.length(F.col("of").cast("string"))).alias("b")).collect()[0]
     if size["n"] <= MAX_LABELS and (size["b"] or 0) <= MAX_LABEL_BYTES:
         return own.join(F.broadcast(sums), F.col("label").eqNullSafe(F.col("of")), "left").drop("of")
