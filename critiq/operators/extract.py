@@ -1,16 +1,17 @@
 """Extraction from raw pages and the page frontier.
 
-Everything is narrow (row-local regular expressions) except the page grouping
-of A18/X9, which is a hash aggregation. Review blocks are exploded from their
-page, so one row never holds more than one page.
+Page fields are narrow (row-local regular expressions); blocks and their fields are
+found by nesting depth (``operators/markup.py``), with one shuffle of the pages; the
+page grouping of A18/X9 is a hash aggregation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from critiq.functions import html as H
+from critiq.operators.markup import Element, ReviewMarkup, attribute, blocks, field_text, reviews, text_of
 from critiq.sources.tables import LISTING
 
 WS = r"[ \t\r\n]+"
@@ -39,51 +40,29 @@ def page_fields(pages: DataFrame) -> DataFrame:
     )
 
 
-def render_review_block(df: DataFrame) -> DataFrame:
-    """Markup of one review, as a review listing page shows it (inverse of X2-X6)."""
-    link = F.when(F.col("review_item") != F.col("umbrella_item"),
-                  F.concat(F.lit('<a class="review-title" href="/product-reviews/'),
-                           F.col("review_item").cast("string"), F.lit('">'))
-                  ).otherwise(F.lit('<a class="review-title" href="#">'))
-    day = F.date_format(F.timestamp_seconds("review_ts"), H.DATE_FORMAT)
-    block = F.concat(
-        F.lit('<div id="customer_review-'), F.col("user_id").cast("string"),
-        F.lit('" class="a-section review"><i class="review-rating"><span>'),
-        F.format_string("%.1f out of 5 stars", F.col("rating")), F.lit("</span></i>"),
-        link, F.col("title"), F.lit("</a>"),
-        F.lit('<span class="review-date">on '), day, F.lit("</span>"),
-        F.lit('<span class="review-text">'), F.col("body"), F.lit("</span></div>"))
-    return df.withColumn("block", block)
-
-
-def render_review_pages(reviews: DataFrame, page_col: str = "page") -> DataFrame:
-    """Assemble review blocks into listing pages: (listing, page, html).
-
-    ``reviews`` needs columns title, body and ``page_col``; a page holds a
-    bounded number of reviews (the caller's page rule), so ``collect_list``
-    per page never gathers an unbounded group.
-    """
-    blocks = render_review_block(reviews)
-    grouped = blocks.groupBy(*LISTING, page_col).agg(
-        F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "review_item", "l_suppkey",
-                                             "block"))).alias("blocks"))
-    html = F.concat(F.lit(f'<html><body><div id="{H.LIST_CONTAINER}">'),
-                    F.array_join(F.transform("blocks", lambda b: b["block"]), ""),
-                    F.lit("</div></body></html>"))
-    return grouped.select(*LISTING, page_col, html.alias("html"))
-
-
-def extract_reviews(pages: DataFrame, page_col: str = "page") -> DataFrame:
-    """One row per review block of each listing page."""
-    b = pages.select(*LISTING, page_col, F.posexplode(H.review_blocks(F.col("html"))).alias("block_pos", "block"))
-    return b.select(
-        *LISTING, page_col, F.col("block_pos").cast("bigint").alias("block_pos"),
-        H.user_id(F.col("block")).try_cast("bigint").alias("user_id"),
-        H.edition(F.col("block"), F.col("umbrella_item").cast("string")).try_cast("bigint").alias("review_item"),
-        H.rating(F.col("block")).alias("rating"),
-        H.title(F.col("block")).alias("title"),
-        H.body(F.col("block")).alias("body"),
-        H.review_epoch(F.col("block")).alias("review_ts"))
+def extract_reviews(pages: DataFrame, page_col: str = "page", markup: ReviewMarkup | None = None) -> DataFrame:
+    """One row per review block of each listing page, by nesting depth."""
+    found = reviews(pages, [*LISTING, page_col], "umbrella_item", markup)
+    return found.withColumns({c: F.col(c).try_cast("bigint") for c in ("user_id", "review_item")})
+
+
+def navigation_blocks(pages: DataFrame) -> DataFrame:
+    """The list blocks of any page: a row per ``li`` of each ``ul``, with its first link, the text and how many tags it holds."""
+    rows = blocks(pages, ["page_id"], Element(("ul",)), Element(("li",)), {"link": Element(("a",))})
+    found = rows.groupBy("page_id", "container", "block").agg(
+        F.min(F.when((F.col("name") == "a") & (F.col("step") == 1), F.struct("pos", attribute("href").alias("v"))))["v"].alias("href"),
+        field_text("link").alias("link_text"), F.count(F.lit(1)).alias("n_tags"))
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy("block"))
+    return found.select("page_id", place.cast("bigint").alias("block_no"), "href", "link_text", "n_tags")
+
+
+def paragraphs(pages: DataFrame) -> DataFrame:
+    """The paragraphs of each page's articles in order, whether or not their end tags are there."""
+    rows = blocks(pages, ["page_id"], Element(("article",)), Element(("p",)), {})
+    found = rows.groupBy("page_id", "block").agg(F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("t"))
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy("block"))
+    return found.select("page_id", place.cast("bigint").alias("paragraph_no"),
+                        text_of(F.array_join(F.transform("t", lambda x: x["text"]), " ")).alias("text"))
 
 
 def page_frontier(catalog: DataFrame, page_size: int = 10, max_pages: int = 1999) -> DataFrame:

@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from critiq.functions import html as H
 from critiq.operators import predict as P
 from critiq.session import stage_path
 from critiq.streaming.ingest import ingest
@@ -63,18 +62,3 @@ def test_als_takes_string_ids(spark):
 def test_blend_columns(spark):
     row = spark.createDataFrame([(5.0, 3.0)], "m double, b double").select(P.blend(F.col("m"), F.col("b")).alias("x")).first()
     assert row["x"] == pytest.approx(3.6)
-
-
-def test_review_markup_with_many_classes_and_inner_blocks(spark):
-    def block(user, title):
-        return (f'<div data-hook="review" id="customer_review-{user}" class="a-section review aok-relative"><div class="a-row">'
-                f'<i class="a-icon"><span>4.0 out of 5 stars</span></i>'
-                f'<a data-hook="review-title" class="a-size-base a-link-normal review-title a-text-bold" href="#">{title}</a></div>'
-                f'<span data-hook="review-date" class="a-size-base review-date">on March 5, 2017</span>'
-                f'<div class="inner"><span class="a-size-base review-text review-text-content">Body of <b>{title}</b></span></div></div>')
-
-    page = f'<div id="cm_cr-review_list">{block("R1A", "One")}{block("R2B", "Two")}</div>'
-    rows = spark.createDataFrame([(page,)], "html string").select(F.explode(H.review_blocks(F.col("html"))).alias("b"))
-    b = F.col("b")
-    got = rows.select(H.user_id(b), H.title(b), H.body(b), H.rating(b), H.review_epoch(b)).collect()
-    assert [tuple(r) for r in got] == [("R1A", "One", "Body of One", 4.0, 1488672000), ("R2B", "Two", "Body of Two", 4.0, 1488672000)]
