@@ -40,10 +40,10 @@ class Stages:
         self._n += 1
         return f"{self.base}/{self._n:03d}-{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         """Write ``df`` once and return the table read back (fresh lineage)."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
         return out

@@ -204,7 +204,7 @@ def codes(vectors: DataFrame, stages: Stages | None = None) -> DataFrame:
     if not first:
         return vectors.sparkSession.createDataFrame([], empty)
     whole = kept.where(F.size("embedding") == first[0]["d"])
-    seeds = integers(np.array([r["embedding"] for r in whole.orderBy(*order).limit(ENTRIES).collect()], np.float64).reshape(-1, first[0]["d"]))
+    seeds = integers(np.array([r["embedding"] for r in whole.orderBy(*order).limit(ENTRIES).collect()], np.float64))
     entries = seeds.transpose(1, 0, 2)
     pivots = choose_pivots(entries)
     count, dim = pivots.shape[1], first[0]["d"]

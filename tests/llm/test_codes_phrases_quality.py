@@ -150,32 +150,56 @@ def test_activation_table_that_is_full_changes_nothing(spark, monkeypatch):
 
 
 def test_longer_phrases_wait_for_their_parts():
-    ids = np.array([1, 2, 3, 0, 1, 2, 3, 0], np.int32)
+    ids = np.array([1, 2, 3, 0, 1, 2, 3, 0])
     hashes = np.array([[0, 0], [11 << 40, 1], [22 << 40, 2], [33 << 40, 3]], np.uint64)
     reached = np.full(collocations.BUCKETS, collocations.NEVER, np.uint8)
     at = (hashes[:, 0] >> np.uint64(20)).astype(int) & (collocations.BUCKETS - 1)
-    assert [s for s, *_ in collocations.active_phrases(ids, 8, hashes, reached, 0, 4)] == [1]
+    assert list(collocations.active_phrases(ids, hashes, reached, 0, 4)) == []
     reached[at[1]], reached[at[2]] = 0, 2  # "1 2" may start at step 3
-    assert [s for s, *_ in collocations.active_phrases(ids, 8, hashes, reached, 2, 4)] == [1]
-    found = {s: (begin.tolist(), n.tolist()) for s, _, begin, _, n in collocations.active_phrases(ids, 8, hashes, reached, 3, 4)}
-    assert found[2] == ([3], [2])
-    assert [s for s, *_ in collocations.active_phrases(ids, 8, hashes, reached, 7, 4)] == []  # after its cycle
-    blocks = [n.sum() for part, starts in ((ids[:5], 2), (ids[2:], 6)) for s, _, _, _, n in collocations.active_phrases(part, starts, hashes, reached, 4, 4) if s == 2]
-    assert sum(blocks) == 2
+    assert list(collocations.active_phrases(ids, hashes, reached, 2, 4)) == []
+    for step in (3, 6):
+        found = {s: (begin.tolist(), n.tolist()) for s, _, begin, _, n in collocations.active_phrases(ids, hashes, reached, step, 4)}
+        assert found == {2: ([3], [2])}
+    assert list(collocations.active_phrases(ids, hashes, reached, 7, 4)) == []  # after its cycle
+
+
+def test_word_numbers_and_blocks():
+    words, ids = collocations.word_numbers("A b, c\tb!! \x1c Aé\n".encode())
+    assert [words[i - 1].decode() if i else "." for i in ids] == ["a", "b", ".", "c", "b", ".", "\x1c", "aé", "."]
+    assert collocations.word_numbers(b" ., ") [0] == [] and len(collocations.word_numbers(b"")[1]) == 0
+    text = b"one two. three four, " * 50 + b"five " * 30
+    cut = list(collocations._cut(text, 64))
+    assert b"".join(cut) == text and len(cut) > 5 and all(c.rstrip().endswith((b".", b",")) for c in cut[:-1])
 
 
 def test_collocations_long_text_and_empty(spark):
     schema = "lang string, text string"
     assert collocations.collocations(spark.createDataFrame([], schema)).count() == 0
     assert collocations.collocations(spark.createDataFrame([("en", "only once"), (None, None)], schema)).count() == 0
-    text = "new york city is a place. " * 60_000  # 300,000 words, cut into blocks
+    text = "new york city is a place. " * 60_000  # cut into many blocks
     shared = type("Shared", (), {"value": np.zeros(collocations.BUCKETS, np.uint8)})()
     frame = spark.createDataFrame([("en", text)], schema)
-    counts = collocations.scan(frame, shared, 1, 2, block=1000).groupBy("high", "low").agg(F.sum("n").alias("n"))
-    names = collocations.spell(frame, shared, block=1000).groupBy("high", "low").agg(F.min("phrase").alias("phrase"))
-    got = {r["phrase"]: r["n"] for r in counts.join(names, ["high", "low"], "left").collect()}
-    assert got == {**{p: 60_000 for p in ("new york city is", "york city is a", "city is a place", "place", "new york", "a place", "new", "york", "city",
-                                          "is", "a", "york city", "city is", "is a", "new york city", "york city is", "city is a", "is a place")}, "": 360_000}
+    wanted = {**{p: 60_000 for p in ("new york city is", "york city is a", "city is a place", "place", "new york", "a place", "new", "york", "city",
+                                     "is", "a", "york city", "city is", "is a", "new york city", "york city is", "city is a", "is a place")}, "": 360_000}
+    for size in (0, 1, 2):  # nothing is lost to compaction where all is frequent
+        rows = collocations.compact(frame.withColumn("shard", F.lit(1)), shared, size).select("lang", "text") if size else frame
+        counts = collocations.scan(rows, shared, 1, 2, block=100_000).groupBy("high", "low").agg(F.sum("n").alias("n"))
+        names = collocations.spell(rows, shared, block=100_000).groupBy("high", "low").agg(F.min("phrase").alias("phrase"))
+        assert {r["phrase"]: r["n"] for r in counts.join(names, ["high", "low"], "left").collect()} == wanted
+
+
+def test_compaction_keeps_what_matters(spark):
+    block = collocations.Block({"en": [b"a b x a b c. y a b", b"c a b"], "de": [b"a b"]})
+    reached = np.full(collocations.BUCKETS, collocations.NEVER, np.uint8)
+    for i, (w, lang) in enumerate(zip(block.words, block.langs)):
+        if w in (b"a", b"b", b"c") and lang == "en":
+            reached[int(block.hashes[i][0] >> np.uint64(20)) & (collocations.BUCKETS - 1)] = 0
+    shared = type("Shared", (), {"value": reached})()
+    rows = [("en", "a b x a b c. y a b", 0), ("de", "a b", 0), ("en", "c a b", 1)]
+    frame = spark.createDataFrame(rows, "lang string, text string, shard int").coalesce(1)
+    got = {(r["lang"], r["shard"]): r["text"] for r in collocations.compact(frame, shared, 1).collect()}
+    assert got[("en", 0)].split() == "a b . a b c . a b .".split() and got[("en", 1)].split() == "c a b .".split()
+    assert got[("de", 0)] in ("", ".")
 
 
 # ---- quality rules ------------------------------------------------------------------------------
