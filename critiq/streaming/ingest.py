@@ -1,64 +1,62 @@
 """Incremental review ingestion with Structured Streaming (S8, J3, J5, J7 as a stream; Q40).
 
-Collection runs drop review files into a landing folder; runs overlap, so a
-review can arrive several times. The stream reads the folder (new files only)
-and merges each micro-batch into the review table in ``foreachBatch``: repeats
-inside the batch are dropped, keys the table holds already are skipped (anti
-join, J3/J5), the rest is appended.
-
-The merge alone makes the result exact. There is no watermark: event times say
-when a review was written, not when it arrived, so a watermark would discard
-reviews of older files. The target is partitioned by a bucket of the key, and a
-micro-batch reads only the buckets its own keys fall into. The merge is
-idempotent: a micro-batch that runs again after a failure appends nothing it has
-already written, and the stream's checkpoint lies in the shared folder.
-``trigger(availableNow=True)`` processes everything present and stops.
+Collection runs drop review files into a landing folder; runs overlap, so a review can
+arrive several times. The stream reads the folder (new files only), keeps the first
+arrival of every key and appends it to the review table.
+
+Which keys have arrived is keyed state in RocksDB: a micro-batch looks up its own keys
+and nothing else, so its cost follows the batch, not the table or the number of batches
+before it; the table is only appended to. State and progress lie in the stream's
+checkpoint folder, the table's commits in its own log, so a batch that runs again after
+a failure adds nothing twice.
+
+There is no watermark: event times say when a review was written, not when it arrived,
+so a watermark would discard reviews of older files. ``trigger(availableNow=True)``
+processes everything present and stops; a later run goes on from there.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-BUCKET = "_bucket"
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def merge_new_rows(target_path: str, key: Sequence[str], buckets: int = 64):
-    """foreachBatch function: append rows whose key the target table does not hold yet."""
-    key = list(key)
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of the same application whose streams keep their state in RocksDB; the caller's settings stay as they are.
 
-    def merge(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(key).withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
-        if path_exists(spark, f"{target_path}/_SUCCESS"):
-            # At most ``buckets`` numbers: the partitions of the target that this batch can meet.
-            touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
-            existing = spark.read.parquet(target_path).where(F.col(BUCKET).isin(touched)).select(*key, BUCKET)
-            fresh = fresh.join(existing, [*key, BUCKET], "left_anti")
-        fresh.write.mode("append").partitionBy(BUCKET).parquet(target_path)
-
-    return merge
+    The number of state partitions is fixed by a stream's first run.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # Each batch uploads the changes of its keys, not the whole state.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
 def ingest(spark: SparkSession, landing: str, schema: StructType, key: Sequence[str], target: str,
-           checkpoint: str, files_per_trigger: int | None = None) -> DataFrame:
+           checkpoint: str, files_per_trigger: int | None = None, state_partitions: int | None = None,
+           progress: list[dict] | None = None) -> DataFrame:
     """Run the ingest stream over everything in ``landing`` and return the review table.
 
-    ``files_per_trigger`` bounds a micro-batch; it does not change the result.
+    ``files_per_trigger`` bounds a micro-batch; it does not change the result. ``progress``
+    takes what each micro-batch reported.
     """
-    reader = spark.readStream.schema(schema)
+    own = stream_session(spark, state_partitions)
+    reader = own.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    q = (reader.parquet(landing).writeStream.foreachBatch(merge_new_rows(target, key))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    rows = reader.parquet(landing).dropDuplicates(list(key))
+    q = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(target).drop(BUCKET)
+    if progress is not None:
+        progress += [json.loads(p.json) for p in q.recentProgress]
+    return spark.read.schema(schema).parquet(target)
