@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -67,7 +71,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of a piece take about ``max_bytes``.
 
     A single text above the bound makes a piece of its own, whole.
@@ -120,10 +124,41 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def task_cache(owner: str) -> dict:
+    """What an operator keeps in a Python worker between its tasks; what others kept there goes."""
+    for other in [o for o in _CACHES if o != owner]:
+        del _CACHES[other]
+    return _CACHES.setdefault(owner, {})
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the machine; workers live on after their task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def _returning(run):
+    """``run`` over batches, with its memory given back at the end of the task."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the executors."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_returning(run), schema)
 
 
 def group_arrow(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:

@@ -38,6 +38,8 @@ SWITCH = 12.0
 #: A language is a candidate for a script from this share of its training letters on.
 SCRIPT_SHARE = 1e-3
 BLOCK = 64
+#: States up to which blocks of words are scored from every state to every state.
+BLOCK_STATES = 16
 
 # First and last code point of the scripts told apart; all others are one script.
 SCRIPTS = [
@@ -137,9 +139,44 @@ def fit(docs: DataFrame) -> Model:
     return Model(langs, score.astype(np.float32), np.where(candidate, 0, -1e4).astype(np.float32))
 
 
+def viterbi_steps(score: np.ndarray, ptr: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """``viterbi`` word by word, all texts at once: memory in proportion to words x states."""
+    n, k = score.shape
+    words = np.diff(ptr)
+    order = np.argsort(-words, kind="stable")
+    first, left = ptr[:-1][order], -words[order]  # texts by length; the first ones are still under way at a step
+    stays = np.zeros((n, k), bool)
+    other = np.zeros(n, np.int32)  # the best state before a word
+    v = np.zeros((len(words), k))
+    for i in range(int(words.max(initial=0))):
+        m = int(np.searchsorted(left, -i))
+        at, own = first[:m] + i, v[:m]
+        if i:
+            best = own.argmax(1)
+            most = own[np.arange(m), best][:, None] - switch
+            stays[at], other[at] = own >= most, best
+            np.maximum(own, most, out=own)
+        own += score[at]
+    state = v.argmax(1)
+    out = np.zeros(n, np.int64)
+    for i in range(int(words.max(initial=0)) - 1, -1, -1):
+        m = int(np.searchsorted(left, -i))
+        at = first[:m] + i
+        out[at] = state[:m]
+        if i:
+            state[:m] = np.where(stays[at, state[:m]], state[:m], other[at])
+    return out
+
+
 def viterbi(score: np.ndarray, ptr: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """Best state of each word; score is [word, state], text d has words ptr[d] .. ptr[d + 1] - 1."""
+    """Best state of each word; score is [word, state], text d has words ptr[d] .. ptr[d + 1] - 1.
+
+    Few states go by blocks of words, whose tables grow with the square of the states;
+    more of them go word by word, with the same path.
+    """
     n, k = score.shape
+    if k > BLOCK_STATES:
+        return viterbi_steps(score, ptr, switch)
     words = np.diff(ptr)
     blocks = -(-words // BLOCK)
     first = np.concatenate([[0], np.cumsum(blocks)])
@@ -176,7 +213,7 @@ def viterbi(score: np.ndarray, ptr: np.ndarray, switch: float = SWITCH) -> np.nd
         state[d] = came[b]
     # Inside the blocks, from the state that each is entered with to the one it is left in.
     v = s[0] + change[came]
-    back = np.zeros((BLOCK, total, k), np.int8)
+    back = np.zeros((BLOCK, total, k), np.int8)  # BLOCK_STATES at most
     own = np.arange(k, dtype=np.int8)[None]
     for t in range(1, BLOCK):
         best = v.argmax(1)

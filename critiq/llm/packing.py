@@ -24,22 +24,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.common import map_arrow, slices
+from critiq.llm.common import map_arrow, slices, task_cache
 
 CAPACITY = 1024
 END_ID = 0
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
                 "sequence_id long, offset long")
 
-_ENCODERS: dict[str, object] = {}
-
-
 class _Encoder:
     """Ids of ``tokenizers`` for its byte-level vocabulary, computed by ``tiktoken``.
 
     Both libraries hold the same vocabulary (tests compare them); ``tiktoken`` is
     several times faster and hands out numpy arrays. A text that holds the string
-    of a special token goes to ``tokenizers`` itself, whose default makes it one id.
+    of a special token goes to ``tokenizers`` itself, whose default makes it one id,
+    and so does one with a run of white space that ``tiktoken`` cannot take.
     """
 
     def __init__(self, path: str):
@@ -59,7 +57,10 @@ class _Encoder:
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.reference.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        except ValueError:  # a run of some 10^6 blanks or line ends is too long for its pattern matcher
+            return np.array(self.reference.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -71,9 +72,10 @@ def _byte_alphabet() -> dict[str, int]:
 
 def encoder(path: str) -> _Encoder:
     """One encoder per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = _Encoder(path)
-    return _ENCODERS[path]
+    kept = task_cache("packing")
+    if path not in kept:
+        kept[path] = _Encoder(path)
+    return kept[path]
 
 
 def cuts(n: int, capacity: int = CAPACITY) -> list[int]:

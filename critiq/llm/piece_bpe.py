@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.common import map_arrow, slices
+from critiq.llm.common import map_arrow, slices, task_cache
 
 # Fixed values of the model format: the space mark, and the kinds of a piece.
 MARK = "▁"
@@ -39,7 +39,6 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Cuts and pairs a worker keeps before it starts again.
 CACHE = 200_000
 
-_MODELS: dict[str, "PieceModel"] = {}
 
 
 def read_model(path: str) -> list[tuple[str, float, int]]:
@@ -280,9 +279,10 @@ def _replace_bytes(raw: bytes) -> str:
 
 def model(path: str) -> PieceModel:
     """One model per Python worker."""
-    if path not in _MODELS:
-        _MODELS[path] = PieceModel(path)
-    return _MODELS[path]
+    kept = task_cache("piece_bpe")
+    if path not in kept:
+        kept[path] = PieceModel(path)
+    return kept[path]
 
 
 def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
