@@ -23,6 +23,7 @@ import heapq
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -64,7 +65,9 @@ COMPOUNDS = {f"{a}-{b}" for first, second in (
 #: Characters outside links below which the cut leaves little.
 LITTLE = 100
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.S)
+_OPEN = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[\"'>]")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-zA-Z]+")
 
@@ -91,43 +94,88 @@ def _cut_names(attributes: str) -> frozenset:
     return frozenset(out)
 
 
+class _Tags:
+    """The tags of a page in order, in time that grows with its length."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+
+    def end(self, at: int) -> int:
+        """Place after the ``>`` of the tag that is open at ``at``; quotes that nothing closes are letters. 0 without one."""
+        start = at
+        while m := _STOP.search(self.page, at):
+            if m[0] == ">":
+                return m.end()
+            at = self.page.find(m[0], m.end()) + 1 if m.start() < self.last[m[0]] else m.end()
+            if at > self.last[">"]:  # a pair of quotes around all tag ends left
+                break
+        return self.page.find(">", start) + 1
+
+    def next(self, at: int) -> tuple[int, int, str] | None:
+        """Begin and end of the next tag, comment or declaration, and what it is; None without one."""
+        while (m := _OPEN.search(self.page, at)) is not None:
+            for begin, close in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if self.page.startswith(begin, m.start()):
+                    found = self.page.find(close, m.start() + len(begin))
+                    return m.start(), found + len(close) if found >= 0 else len(self.page), begin
+            if m.start() > self.last[">"]:
+                return None
+            end = self.page.find(">", m.end()) + 1 if m[0][1] in "!?" else self.end(_NAME.search(self.page, m.start()).end())
+            if end:
+                return m.start(), end, m[0]
+            at = m.end()
+        return None
+
+
 def parse(page: str) -> Node:
     """Tree of a page; unclosed elements end with their parent."""
     root = now = Node("#root", None, False)
-    at = 0
+    opened: Counter = Counter()  # open elements by tag
+    tags, at = _Tags(page), 0
+
+    def leave(node: Node, parent: Node) -> Node:
+        while node is not parent:
+            opened[node.tag] -= 1
+            node = node.parent
+        return parent
+
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
+        found = tags.next(at)
+        if found is None:
             now.parts.append(page[at:])
             break
-        if m.start() > at:
-            now.parts.append(page[at:m.start()])
-        at = m.end()
-        if m[2] is None:  # comment, declaration
-            if m[0].startswith("<![CDATA["):
-                now.parts.append(html.escape(m[0][9:].removesuffix("]]>")))
+        start, end, kind = found
+        if start > at:
+            now.parts.append(page[at:start])
+        at = end
+        if kind[1] in "!?":
+            if kind == "<![CDATA[":
+                now.parts.append(html.escape(page[start + 9:end].removesuffix("]]>")))
             continue
-        tag = m[2].lower()
-        if m[1]:
-            node = now
-            while node is not None and node.tag != tag:
-                node = node.parent
-            if node is not None and node.parent is not None and not (node.tag != tag):
-                now = node.parent
+        name = _NAME.search(page, start)
+        tag, attributes = name[0].lower(), page[name.end():end - 1]
+        if kind[1] == "/":
+            if opened[tag]:
+                node = now
+                while node.tag != tag:
+                    node = node.parent
+                now = leave(now, node.parent)
             continue
-        if tag in BLOCKS and tag != "body":
-            now = _end_open(now, {"p"}, {"#root", "body", "td", "th", "li", "div", "article", "section", "blockquote", "button"})
-        if tag in ENDS:
-            now = _end_open(now, ENDS[tag], SCOPES[tag] | {"#root"})
-        names = _cut_names(m[3])
+        if tag in BLOCKS and tag != "body" and opened["p"]:
+            now = leave(now, _end_open(now, {"p"}, {"#root", "body", "td", "th", "li", "div", "article", "section", "blockquote", "button"}))
+        if tag in ENDS and any(opened[t] for t in ENDS[tag]):
+            now = leave(now, _end_open(now, ENDS[tag], SCOPES[tag] | {"#root"}))
+        names = _cut_names(attributes)
         cut = tag in CUT_TAGS or bool(names) and tag not in ("html", "body", "article", "main")
-        if tag in RAW and not m[3].endswith("/"):
+        if tag in RAW and not attributes.endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
         node = Node(tag, now, cut, names)
         now.parts.append(node)
-        if tag not in VOID and not (m[3].endswith("/") and tag not in BLOCKS):
+        if tag not in VOID and not (attributes.endswith("/") and tag not in BLOCKS):
+            opened[tag] += 1
             now = node
     return root
 

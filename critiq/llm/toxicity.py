@@ -114,7 +114,17 @@ def matches(automaton, words: list[str]) -> list[tuple[int, int, float]]:
             outs.append((end - size, end))
         else:
             hits[end - size] = (end, weight)
-    return [(a, b, w) for a, (b, w) in hits.items() if not any(x <= a and b <= y for x, y in outs)]
+    # By place, an exception that ends last covers a match if any that begins before it does.
+    outs.sort()
+    kept, covered, i = [], -1, 0
+    for a in sorted(hits):
+        while i < len(outs) and outs[i][0] <= a:
+            covered = max(covered, outs[i][1])
+            i += 1
+        b, w = hits[a]
+        if b > covered:
+            kept.append((a, b, w))
+    return kept
 
 
 def density(automaton, words: list[str]) -> float:

@@ -1,0 +1,106 @@
+"""Inputs that once ended a job or took it hours: many languages, long blank runs, broken markup, many matches."""
+
+import random
+import time
+
+import numpy as np
+import pytest
+
+from critiq.llm import common, htmltext, langid, packing, queries, toxicity
+
+
+@pytest.mark.parametrize("k", [1, 4, 20, 200])
+def test_paths_over_any_number_of_languages(k):
+    rng = np.random.default_rng(k)
+    sizes = [0, 1, 5, 64, 65, 300, 0]
+    ptr = np.concatenate([[0], np.cumsum(sizes)])
+    score = rng.normal(size=(ptr[-1], k)) * 6
+    for find in (langid.viterbi, langid.viterbi_steps):
+        got = find(score, ptr, 5.0)
+        assert ((got >= 0) & (got < k)).all()
+        for d, n in enumerate(sizes):
+            s, path = score[ptr[d]:ptr[d + 1]], got[ptr[d]:ptr[d + 1]]
+            v = np.zeros(k)
+            for row in s:
+                v = row + np.maximum(v, v.max() - 5.0)
+            if n:
+                assert s[np.arange(n), path].sum() - 5.0 * (path[1:] != path[:-1]).sum() == pytest.approx(v.max())
+
+
+def test_two_hundred_languages_from_end_to_end(spark):
+    rng = random.Random(0)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{i:03d}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(5)] for i in range(200)}
+    rows = [(f"{lang}", " ".join(own * 3)) for lang, own in words.items()]
+    frame = spark.createDataFrame([(lang, text) for lang, text in rows], "lang string, text string")
+    got = langid.predict(frame, langid.fit(frame)).collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in got) >= 195 and all(0 <= r["score"] <= 1 for r in got)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 1_000_000 + "b"])
+def test_long_runs_of_white_space_equal_tokenizers(text):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    assert packing.encoder(path)(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<b>" * 100 + "</i>" * 250_000, '<a "' * 250_000 + ">", "<!" * 500_000,
+                                  "<b>" * 50_000 + "<p>" * 50_000, "<p>" + "</b>" * 250_000, "<a '\">" * 150_000])
+def test_broken_pages_take_time_in_proportion(page):
+    begin = time.process_time()
+    htmltext.content(page)
+    assert time.process_time() - begin < 8  # about 1 MB each; it was minutes to hours
+
+
+def test_quotes_and_tags():
+    page = '<body><article><p title="a > b">one</p><p title=\'c > d\'>two</p><p x="unclosed>three</p><p>four &lt;5</p></article></body>'
+    assert htmltext.content(page) == "one\ntwo\nthree\nfour <5"
+    assert htmltext.content("<body><article><p>text with a long tail <b without an end") == "text with a long tail <b without an end"
+
+
+def test_matches_against_every_pair():
+    rng = random.Random(1)
+    lexicon = toxicity.Lexicon({"abcd": 2.0, "abcde": 3.0, "zzzz": 1.0}, ["abcd foo", "foo zzzz", "bar abcde"], 1.0)
+    automaton = lexicon.automaton()
+    for _ in range(500):
+        words = [rng.choice(["abcd", "abcdex", "foo", "zzzz", "bar", "x", "abcdef"]) for _ in range(rng.randint(0, 20))]
+        text, hits, outs = f" {' '.join(words)} ", {}, []
+        for i in range(len(text)):
+            for stem, w in lexicon.weight.items():
+                if text.startswith(f" {stem}", i) and len(stem) + 1 > hits.get(i, (0, 0))[0] - i:
+                    hits[i] = (i + len(stem) + 1, w)
+            outs += [(i, i + len(p) + 2) for p in lexicon.exceptions if text.startswith(f" {p} ", i)]
+        plain = [(a, w) for a, (b, w) in sorted(hits.items()) if not any(x <= a and b <= y for x, y in outs)]
+        assert [(a, w) for a, _, w in toxicity.matches(automaton, words)] == plain
+    begin = time.process_time()
+    toxicity.matches(automaton, ["abcd", "foo"] * 100_000)
+    assert time.process_time() - begin < 4
+
+
+def test_workers_keep_one_operators_things():
+    common._CACHES.clear()
+    common.task_cache("one")["x"] = 1
+    assert common.task_cache("one") == {"x": 1}
+    common.task_cache("two")["y"] = 2
+    assert common.task_cache("one") == {} and "two" not in common._CACHES
+    common.give_back()
+
+
+def worker_peak(texts):
+    """Growth of this process's memory, in MB, over one slice of language scoring."""
+    import resource
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    langid.words_of(texts)
+    return (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024
+
+
+def test_a_slice_of_texts_is_small():
+    import pyarrow as pa
+
+    langid._tables()
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words of a text " * 150] * 1000)], ["text"])
+    parts = list(common.slices(iter([batch]), "text"))
+    assert len(parts) == 3 + 1 and sum(p.num_rows for p in parts) == 1000
+    assert worker_peak(parts[0].column("text").to_pylist()) < 150
