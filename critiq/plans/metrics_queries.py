@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from critiq.operators import metrics
 from critiq.plans.oracle_views import with_views
@@ -13,19 +14,24 @@ def q_dataset_metrics_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.dataset_metrics(tables.reviews(spark, sf))
 
 
+def q_dataset_metrics_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The same metrics from the stored states of two runs: reviews collected first, and all later ones."""
+    reviews = tables.reviews(spark, sf)
+    first = F.col("review_ts") < F.unix_timestamp(F.to_timestamp(F.lit(tables.CRAWL_CUTOFF)))
+    return metrics.dataset_metrics_merged(metrics.metric_state(reviews.where(first)), metrics.metric_state(reviews.where(~first)))
+
+
 def q_sentiment_summary(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.sentiment_summary(tables.reviews(spark, sf))
 
 
 def q_user_item_averages(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import functions as F
     return metrics.entity_averages(tables.ratings(spark, sf)).withColumn(
         "mean_rating", F.round("mean_rating", 6))
 
 
 def q_rating_mode_share(spark: SparkSession, sf: str) -> DataFrame:
     r = tables.ratings(spark, sf)
-    from pyspark.sql import functions as F
     users = metrics.mode_share(r, "user").select(F.lit("user").alias("entity"), "*")
     items = metrics.mode_share(r, "item").select(F.lit("item").alias("entity"), "*")
     return users.unionByName(items)
@@ -55,6 +61,7 @@ def q_items_per_publisher(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "dataset_metrics_rollup": q_dataset_metrics_rollup,
+    "dataset_metrics_merged": q_dataset_metrics_merged,
     "sentiment_summary": q_sentiment_summary,
     "user_item_averages": q_user_item_averages,
     "rating_mode_share": q_rating_mode_share,
@@ -118,3 +125,5 @@ SELECT publisher, count(*) AS n_listings, CAST(sum(n) AS BIGINT) AS n_reviews FR
 GROUP BY ROLLUP (publisher)
 """),
 }
+
+ORACLE["dataset_metrics_merged"] = ORACLE["dataset_metrics_rollup"]
