@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from critiq.sources.tables import LISTING, REVIEW_ORDER
+from critiq.sources.tables import LISTING, REVIEW_ORDER, VERSIONS
 
 
 def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,6 +75,27 @@ def resume_plan(collected: DataFrame, page_size: int = 10) -> DataFrame:
                     (F.expr(f"n_collected div {page_size}") + 1).alias("start_page"))
 
 
+def kept_rows(collected: DataFrame, page_size: int = 10, order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
+    """J9, row form: the rows of each listing's full pages; those of its last, partial page are collected again.
+
+    Only the last page_size - 1 rows of a listing can go. They are found by a per-group limit
+    that Spark applies in every task before the shuffle, so a long listing is never sorted
+    whole, and leave by an anti join. ``order`` tells the rows of a listing apart.
+    """
+    last = Window.partitionBy(*LISTING).orderBy(*[F.col(c).desc() for c in order])
+    own = [c for c in order if c not in LISTING]
+    tail = collected.select(*LISTING, *own).withColumn("_from_end", F.row_number().over(last)).where(F.col("_from_end") < page_size)
+    partial = collected.groupBy(*LISTING).agg((F.count(F.lit(1)) % page_size).alias("_partial")).where("_partial > 0")
+    gone = tail.join(partial, LISTING).where("_from_end <= _partial").select(*LISTING, *own)
+    return collected.join(gone, [*LISTING, *own], "left_anti")
+
+
+def with_version_rank(reviews: DataFrame, versions: Sequence[str] = VERSIONS) -> DataFrame:
+    """``vrank``: the place of a record's version in the order in which versions are processed; unknown ones come last."""
+    place = F.array_position(F.array(*[F.lit(v) for v in versions]), F.col("version")).cast("int")
+    return reviews.withColumn("vrank", F.coalesce(F.when(place > 0, place - 1), F.lit(len(versions))))
+
+
 # --------------------------------------------------------------------------- J7, J8
 
 def upsert_merge(old: DataFrame, batches: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
@@ -105,14 +126,14 @@ def merge_conflicts(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataF
 
 # --------------------------------------------------------------------------- T6, P2, F5
 
-def listing_signatures(reviews: DataFrame, sig: Sequence[Column]) -> DataFrame:
-    """Signature of each listing = ``sig`` evaluated on its first review.
+def listing_signatures(reviews: DataFrame, sig: Sequence[Column], order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
+    """Signature of each listing = ``sig`` evaluated on its first review in ``order``.
 
     Output: publisher, version, vrank, umbrella_item, sig (struct), n_reviews.
     """
-    order = F.struct(*[F.col(c) for c in REVIEW_ORDER])
+    first = F.struct(*[F.col(c) for c in order])
     return (reviews.groupBy(*LISTING, "vrank")
-            .agg(F.min_by(F.struct(*sig), order).alias("sig"),
+            .agg(F.min_by(F.struct(*sig), first).alias("sig"),
                  F.count(F.lit(1)).alias("n_reviews")))
 
 
@@ -158,15 +179,15 @@ def remove_blocked(reviews: DataFrame, blocked: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- review-level dedup
 
 def review_dedup(reviews: DataFrame, key: Sequence[str] = ("user_id", "review_item"),
-                 rank: str = "vrank") -> DataFrame:
+                 rank: str = "vrank", order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
     """One review per (user, review item): the one from the earliest version, then earliest collected.
 
     A ``min_by`` aggregation rather than a window: a hot key is reduced map-side.
     """
     key = list(key)
     others = [c for c in reviews.columns if c not in key]
-    order = F.struct(F.col(rank), *[F.col(c) for c in REVIEW_ORDER])
-    best = reviews.groupBy(*key).agg(F.min_by(F.struct(*others), order).alias("r"))
+    first = F.struct(F.col(rank), *[F.col(c) for c in order])
+    best = reviews.groupBy(*key).agg(F.min_by(F.struct(*others), first).alias("r"))
     return best.select(*key, *[F.col(f"r.{c}").alias(c) for c in others])
 
 
@@ -206,21 +227,21 @@ def filter_accounting(reviews: DataFrame, allow: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- J5
 
-def first_page(reviews: DataFrame, page_size: int = 10) -> DataFrame:
+def first_page(reviews: DataFrame, page_size: int = 10, order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
     """The first ``page_size`` reviews of each listing in collection order.
 
     ``row_number() <= k`` is planned with a partial per-group limit before the
     shuffle, so at most k rows per listing and map task are exchanged.
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy(*LISTING).orderBy(*[F.col(c) for c in REVIEW_ORDER])
+    w = Window.partitionBy(*LISTING).orderBy(*[F.col(c) for c in order])
     return reviews.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= page_size).drop("_pos")
 
 
 def skip_known_items(new_reviews: DataFrame, known: DataFrame,
-                     key: Sequence[str] = ("user_id", "review_item"), page_size: int = 10) -> DataFrame:
+                     key: Sequence[str] = ("user_id", "review_item"), page_size: int = 10,
+                     order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
     """Drop every listing whose first page holds a review already known."""
     key = list(key)
-    hits = (first_page(new_reviews, page_size)
+    hits = (first_page(new_reviews, page_size, order)
             .join(_keys(known, key), key, "left_semi"))
     return new_reviews.join(_keys(hits, LISTING), LISTING, "left_anti")

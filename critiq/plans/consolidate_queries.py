@@ -91,6 +91,10 @@ def q_resume_start_page(spark, sf):
     return C.resume_plan(tables.collected(spark, sf))
 
 
+def q_partial_resume_rows(spark, sf):
+    return C.kept_rows(tables.reviews(spark, sf))
+
+
 QUERIES = {
     "pending_items": q_pending_items,
     "upsert_merge": q_upsert_merge,
@@ -104,6 +108,7 @@ QUERIES = {
     "count_reconciliation": q_count_reconciliation,
     "collection_progress": q_collection_progress,
     "resume_start_page": q_resume_start_page,
+    "partial_resume_rows": q_partial_resume_rows,
 }
 
 _ORDER = "review_ts, l_orderkey, l_linenumber, review_item, l_suppkey, l_extendedprice"
@@ -200,6 +205,12 @@ SELECT c.publisher, count(*) FILTER (WHERE d.item IS NOT NULL) AS n_done,
 FROM catalog c LEFT JOIN (SELECT DISTINCT publisher, version, umbrella_item AS item FROM collected) d
   ON c.publisher = d.publisher AND c.version = d.version AND c.item = d.item
 GROUP BY ROLLUP (c.publisher)
+"""),
+    "partial_resume_rows": with_views(["reviews"], f"""
+SELECT * EXCLUDE (_n, _pos) FROM (
+  SELECT *, count(*) OVER (PARTITION BY publisher, version, umbrella_item) AS _n,
+         row_number() OVER (PARTITION BY publisher, version, umbrella_item ORDER BY {_ORDER}) AS _pos
+  FROM reviews) t WHERE _pos <= _n - _n % 10
 """),
     "resume_start_page": with_views(["collected"], """
 SELECT publisher, version, umbrella_item, count(*) AS n_collected, count(*) - count(*) % 10 AS n_kept,
