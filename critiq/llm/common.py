@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import sys
+import os
 import tempfile
 import uuid
 import zipfile
@@ -134,13 +134,23 @@ def task_cache(owner: str) -> dict:
     return _CACHES.setdefault(owner, {})
 
 
-def give_back() -> None:
-    """Return freed memory of a Python worker to the machine; workers live on after their task."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if sys.platform.startswith("linux"):
-        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+#: Memory of a Python worker from which it gives back what it has freed.
+LARGE_WORKER = 250 << 20
+
+
+def _resident() -> int:
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+
+def give_back(least: int = LARGE_WORKER) -> None:
+    """Return freed memory of a large Python worker to the machine; workers live on after their task."""
+    with contextlib.suppress(OSError, AttributeError):  # other systems have other calls; there it stays as it is
+        if _resident() < least:
+            return
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def _returning(run):

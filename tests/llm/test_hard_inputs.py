@@ -85,6 +85,7 @@ def test_workers_keep_one_operators_things():
     common.task_cache("two")["y"] = 2
     assert common.task_cache("one") == {} and "two" not in common._CACHES
     common.give_back()
+    common.give_back(least=0)
 
 
 def worker_peak(texts):
