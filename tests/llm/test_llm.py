@@ -440,7 +440,7 @@ def test_entry_holds_a_query_per_operator():
 
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op")] == list(queries.QUERIES) and names[-1] == "pipeline"
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
 
 
