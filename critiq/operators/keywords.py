@@ -6,7 +6,7 @@ w in candidates, deg(w) = sum of the lengths of the candidates it occurs in,
 score(w) = deg/freq, and a phrase scores the sum of its words' scores.
 
 Plan shape: documents are hash-partitioned by their key once (the raw text
-is the smallest form of the data); candidates and words are exploded inside
+is the smallest form of the data), into partitions of a bounded size; candidates and words are exploded inside
 that partitioning, and every later per-document step (word statistics by
 window, phrase sums, phrase de-duplication) is keyed by (doc, ...), which the
 existing partitioning already satisfies — no further shuffle of token rows.
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from critiq.functions import text as T
+from critiq.operators.common import dealt_by_size
 
 
 def rake_phrases(docs: DataFrame, key: str = "doc_id", group_cols: Sequence[str] = (),
@@ -29,7 +30,7 @@ def rake_phrases(docs: DataFrame, key: str = "doc_id", group_cols: Sequence[str]
     Output: key, group_cols..., phrase, score, n_occurrences, first_pos, n_words.
     """
     group_cols = list(group_cols)
-    d = docs.select(key, *group_cols, text_col).repartition(key)
+    d = dealt_by_size(docs.select(key, *group_cols, text_col), key, text_col)
     cands = d.select(key, *group_cols,
                      F.posexplode(T.rake_candidates(F.col(text_col), stopwords)).alias("cand_pos", "phrase"))
     words = cands.select(key, *group_cols, "cand_pos", "phrase",
@@ -63,8 +64,19 @@ def group_scores(phrases: DataFrame, publisher: str = "publisher", version: str
     return out
 
 
+def unversioned_scores(phrases: DataFrame, publisher: str = "publisher", version: str = "version", uses: str | None = None) -> DataFrame:
+    """The rows of ``group_scores`` without a version, with the other rows left out before the shuffle.
+
+    These are the publisher rows, and those of (publisher, version, keyword) whose version is null.
+    """
+    n = F.col(uses) if uses else F.lit(1).cast("bigint")
+    level = F.explode(F.when(F.col(version).isNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = phrases.select(publisher, "phrase", (F.col("score") * n).alias("score"), n.alias("n_docs"), level.alias("_level"))
+    return rows.groupBy(publisher, "phrase", "_level").agg(F.sum("score").alias("score"), F.sum("n_docs").alias("n_docs")).drop("_level")
+
+
 def title_scores(titles: DataFrame, reviews: DataFrame, item: str = "review_item", publisher: str = "publisher",
-                 version: str = "version", stopwords: list[str] | None = None) -> DataFrame:
+                 version: str = "version", stopwords: list[str] | None = None, unversioned: bool = False) -> DataFrame:
     """K3/K4: title keyword sums over all reviews, from ``titles`` (item, title).
 
     Reviews of one item share its title, so RAKE runs once per item and meets the
@@ -72,7 +84,7 @@ def title_scores(titles: DataFrame, reviews: DataFrame, item: str = "review_item
     """
     phrases = rake_phrases(titles, key=item, text_col="title", stopwords=stopwords).select(item, "phrase", "score")
     uses = reviews.groupBy(item, publisher, version).agg(F.count(F.lit(1)).alias("uses"))
-    return group_scores(phrases.join(uses, item), publisher, version, uses="uses")
+    return (unversioned_scores if unversioned else group_scores)(phrases.join(uses, item), publisher, version, uses="uses")
 
 
 def last_write_scores(phrases: DataFrame, key: str = "doc_id", group_cols: Sequence[str] = ("publisher",)) -> DataFrame:

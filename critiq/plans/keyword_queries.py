@@ -16,7 +16,7 @@ from critiq.sources import tables
 
 
 def _phrases(spark, sf):
-    return K.rake_phrases(tables.documents(spark, sf), group_cols=["publisher", "version"])
+    return K.rake_phrases(tables.texts(spark, sf), group_cols=["publisher", "version"])
 
 
 def q_rake_phrases(spark, sf):
@@ -32,7 +32,7 @@ def q_rake_by_group(spark, sf):
 
 
 def q_rake_top10(spark, sf):
-    g = K.group_scores(_phrases(spark, sf)).filter(F.col("version").isNull()).drop("version")
+    g = K.unversioned_scores(_phrases(spark, sf))
     g = g.withColumn("score", F.round("score", 6))
     return K.top_k(g, ["publisher"], 10).withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -46,9 +46,9 @@ def q_rake_last_write_version(spark, sf):
         "score", F.round("score", 6))
 
 
-def _title_scores(spark, sf):
+def _title_scores(spark, sf, unversioned=False):
     titles = tables.allow_list(spark, sf).select(F.col("item").alias("review_item"), "title")
-    return K.title_scores(titles, tables.reviews(spark, sf)).withColumn("score", F.round("score", 6))
+    return K.title_scores(titles, tables.reviews(spark, sf), unversioned=unversioned).withColumn("score", F.round("score", 6))
 
 
 def q_title_keywords(spark, sf):
@@ -56,9 +56,9 @@ def q_title_keywords(spark, sf):
 
 
 def q_keywords_ordered(spark, sf):
-    text = K.group_scores(_phrases(spark, sf)).withColumn("score", F.round("score", 6))
-    both = text.withColumn("kind", F.lit("text")).unionByName(_title_scores(spark, sf).withColumn("kind", F.lit("title")))
-    return K.ordered_keywords(both.filter(F.col("version").isNull()).drop("version"), ["kind", "publisher"])
+    text = K.unversioned_scores(_phrases(spark, sf)).withColumn("score", F.round("score", 6))
+    both = text.withColumn("kind", F.lit("text")).unionByName(_title_scores(spark, sf, unversioned=True).withColumn("kind", F.lit("title")))
+    return K.ordered_keywords(both, ["kind", "publisher"])
 
 
 QUERIES = {

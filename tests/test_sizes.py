@@ -1,0 +1,63 @@
+"""Partitions that follow the input, and stored tables that go when nothing reads them."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from critiq.operators import common, keywords, textrank
+from critiq.session import drop, ensure_checkpoint_dir, keep, size_partitions
+
+
+def docs(spark, n=60):
+    rows = [(d, ["en", "de", None][d % 3], ["web", None][d % 2], f"blue water flows {d % 7} and old stones stay. green hills rise!") for d in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, publisher string, version string, text string")
+
+
+def test_texts_are_dealt_by_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(common, "TEXT_PARTITION", 100)
+    d = docs(spark)
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert common.dealt_by_size(d, "doc_id", "text").rdd.getNumPartitions() == -(-size // 100)
+    p = keywords.rake_phrases(d, group_cols=["publisher", "version"])
+    assert p.rdd.getNumPartitions() == -(-size // 100)  # no later shuffle, and none that adaptive planning joins
+    assert common.dealt_by_size(d.where("false"), "doc_id", "text").count() == 0
+
+
+def test_unversioned_scores_are_the_rows_of_group_scores_without_a_version(spark):
+    p = keywords.rake_phrases(docs(spark), group_cols=["publisher", "version"])
+    want = keywords.group_scores(p).where("version is null").drop("version")
+    got = keywords.unversioned_scores(p)
+    assert got.columns == want.columns
+    key = lambda df: sorted((str(r[0]), r[1], round(r[2], 9), r[3]) for r in df.collect())
+    assert key(got) == key(want) and len(key(got)) > 0
+
+
+def test_pagerank_leaves_no_table_of_past_rounds(spark):
+    base = ensure_checkpoint_dir(spark).replace("file:", "") + "/stages"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    g = ["publisher", "version"]
+    sents = textrank.sentences(docs(spark).where("publisher is not null and version is not null"), g)
+    ranks = textrank.pagerank(textrank.graph_nodes(sents, g), textrank.cooccurrence_edges(sents, g), g, 4)
+    assert abs(ranks.groupBy(*g).agg(F.sum("rank").alias("s")).agg(F.max(F.abs(F.col("s") - 1))).first()[0]) < 1e-9
+    new = set(os.listdir(base)) - before
+    assert len(new) == 1 and next(iter(new)).startswith("pagerank-")
+
+
+def test_kept_tables_are_read_back_and_dropped(spark):
+    t = keep(spark.createDataFrame([(1, None, 0.1)], "a int, b string, c double"), "one")
+    assert [tuple(r) for r in t.collect()] == [(1, None, 0.1)]
+    drop(t, spark.range(1))
+    assert not os.path.exists(t._kept_path.replace("file:", ""))
+
+
+def test_shuffles_start_with_partitions_by_the_input(spark, tmp_path):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "3")
+    (tmp_path / "t").write_bytes(b"x" * 100)
+    size_partitions(own, str(tmp_path))
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert own.conf.get(name) == "3"
+    with open(tmp_path / "t", "wb") as f:
+        f.truncate(41 << 20)
+    size_partitions(own, str(tmp_path))
+    assert own.conf.get(name) == "11"
