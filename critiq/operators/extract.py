@@ -40,9 +40,9 @@ def page_fields(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract_reviews(pages: DataFrame, page_col: str = "page", markup: ReviewMarkup | None = None) -> DataFrame:
+def extract_reviews(pages: DataFrame, page_col: str = "page", markup: ReviewMarkup | None = None, dealt: bool = False) -> DataFrame:
     """One row per review block of each listing page, by nesting depth."""
-    found = reviews(pages, [*LISTING, page_col], "umbrella_item", markup)
+    found = reviews(pages, [*LISTING, page_col], "umbrella_item", markup, dealt)
     return found.withColumns({c: F.col(c).try_cast("bigint") for c in ("user_id", "review_item")})
 
 

@@ -4,7 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from critiq.operators import common, keywords, textrank
+from critiq.operators import common, keywords, predict, textrank
+from critiq.plans import extract_queries, predict_queries
 from critiq.session import drop, ensure_checkpoint_dir, keep, size_partitions
 
 
@@ -61,3 +62,32 @@ def test_shuffles_start_with_partitions_by_the_input(spark, tmp_path):
         f.truncate(41 << 20)
     size_partitions(own, str(tmp_path))
     assert own.conf.get(name) == "11"
+
+
+def scored(spark):
+    rows = [("P", "u1", 1, 4.0, "P"), ("P", "u2", 1, 2.0, "P"), ("P", "u1", 2, 5.0, "BOTH"), ("Q", None, 2, 3.0, "BOTH"), ("Q", "new", 7, 1.0, "P")]
+    return spark.createDataFrame(rows, "publisher string, user string, item long, rating double, scope string")
+
+
+def test_bias_and_baseline_joins_each_side_once_and_gives_both(spark):
+    rows = scored(spark)
+    train = rows.limit(4)
+    a, ub, ib = predict.fit_biases(train, 0.2, 2)
+    want = predict.baseline_predict(predict.bias_predict(rows, a, ub, ib), train)
+    got = predict.bias_and_baseline(rows, a, ub, ib, train)
+    key = lambda df: sorted((str(r["user"]), r["item"], r["scope"], round(r["model"], 9), round(r["baseline"], 9)) for r in df.collect())
+    assert got.columns == want.columns and key(got) == key(want) and len(key(got)) == 5
+    one = predict.rmse_columns(got, {"rm": "model", "rb": "baseline"}, ["scope", "publisher"])
+    m = {(r["scope"], r["publisher"]): (r["n"], r["rmse"]) for r in predict.error_metrics(want, "model", ["scope", "publisher"]).collect()}
+    assert {(r["scope"], r["publisher"]): (r["n"], r["rm"]) for r in one.collect()} == m
+
+
+def test_ratings_of_a_query_are_stored_once(spark):
+    d = predict_queries.Ratings(spark, "/root/testdata/sf0.001")
+    assert len(d.rows._jdf.queryExecution().executedPlan().toString().split("Join")) == 1
+    assert d.rows.count() == 2 * d.own.count() > 0
+
+
+def test_review_pages_move_once(spark):
+    plan = extract_queries.q_stated_totals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(publisher") == 1
