@@ -306,3 +306,11 @@ def test_quality_held_out(spark):
 def test_queries_are_registered():
     assert {"op11_pivot_codes", "op12_collocations", "op13_quality"} <= set(queries.QUERIES)
     assert {"op11_pivot_codes", "op12_collocations"} <= set(queries.ORACLE)
+
+
+def test_languages_that_differ_by_a_nul_at_their_end_stay_apart(spark):
+    from critiq.llm.collocations import collocations
+
+    rows = [("x\x00", "one two. end")] * 31 + [("x", "one two. one")] * 40
+    got = {tuple(r) for r in collocations(spark.createDataFrame(rows, "lang string, text string")).collect()}
+    assert got == {("x\x00", 1, "one two", 31, 31, 31, 93, 1000000), ("x", 1, "one two", 40, 80, 40, 120, 666666)}
