@@ -91,3 +91,14 @@ def test_ratings_of_a_query_are_stored_once(spark):
 def test_review_pages_move_once(spark):
     plan = extract_queries.q_stated_totals(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(publisher") == 1
+
+
+def test_gradient_epochs_skip_unknown_ratings_in_the_mean(spark):
+    rows = spark.createDataFrame([("S", "a", 1, 4.0), ("S", "b", 1, 2.0), ("S", "a", 2, None)], "scope string, user string, item long, rating double")
+    u = {r["user"]: r for r in predict.init_params(rows.select("scope", "user").distinct(), "user", "u", 2).collect()}
+    i = {r["item"]: r for r in predict.init_params(rows.select("scope", "item").distinct(), "item", "i", 2).collect()}
+    d = [r - u[a]["b_u"] - i[b]["b_i"] - sum(u[a][f"u{x}"] * i[b][f"i{x}"] for x in (0, 1)) for a, b, r in (("a", 1, 4.0), ("b", 1, 2.0))]
+    alpha = sum(d) / 2
+    got = {r["epoch"]: r for r in predict.gradient_epochs(rows, 2, epochs=2).collect()}
+    assert abs(got[1]["alpha"] - alpha) < 1e-9 and abs(got[1]["loss"] - (sum((x - alpha) ** 2 for x in d) / 3) ** 0.5) < 1e-9
+    assert len(got) == 2 and got[2]["loss"] < got[1]["loss"]
