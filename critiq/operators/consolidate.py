@@ -75,19 +75,46 @@ def resume_plan(collected: DataFrame, page_size: int = 10) -> DataFrame:
                     (F.expr(f"n_collected div {page_size}") + 1).alias("start_page"))
 
 
-def kept_rows(collected: DataFrame, page_size: int = 10, order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
+#: Rows from which on a listing is not sorted whole in one task.
+LONG_LISTING = 500_000
+
+
+def kept_rows(collected: DataFrame, page_size: int = 10, order: Sequence[str] = REVIEW_ORDER,
+              long_listing: int = LONG_LISTING) -> DataFrame:
     """J9, row form: the rows of each listing's full pages; those of its last, partial page are collected again.
 
+    ``order`` tells the rows of a listing apart; rows equal in it stay or go together, and
+    rows without a value in it or in the listing's names stay. A listing of ordinary length
+    moves once, and its rows go by their place from its end. Those of more than
+    ``long_listing`` rows are few, so their names are broadcast: see ``_kept_of_long``.
+    """
+    own = [c for c in order if c not in LISTING]
+    rows = collected.select(*LISTING, *own, *[c for c in collected.columns if c not in (*LISTING, *own)])
+    sizes = rows.groupBy(*LISTING).agg(F.count(F.lit(1)).alias("_n"))
+    long = F.broadcast(sizes.where(F.col("_n") > long_listing).select(*[F.col(c).alias(f"_{c}") for c in LISTING]))
+    # Nulls are equal here: else one side reads without them, and both sides' shuffle of the reviews is not shared.
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in LISTING]
+    listing = Window.partitionBy(*LISTING)
+    placed = (rows.join(long, same, "left_anti")
+              .withColumn("_from_end", F.rank().over(listing.orderBy(*[F.col(c).desc() for c in order])))
+              .withColumn("_partial", F.count(F.lit(1)).over(listing) % page_size))
+    unknown = F.greatest(*[F.col(c).isNull() for c in (*LISTING, *own)])
+    kept = placed.where(unknown | (F.col("_from_end") > F.col("_partial"))).drop("_from_end", "_partial")
+    return kept.unionByName(_kept_of_long(rows.join(long, same, "left_semi"), page_size, order))
+
+
+def _kept_of_long(rows: DataFrame, page_size: int, order: Sequence[str]) -> DataFrame:
+    """``kept_rows`` without sorting a listing whole.
+
     Only the last page_size - 1 rows of a listing can go. They are found by a per-group limit
-    that Spark applies in every task before the shuffle, so a long listing is never sorted
-    whole, and leave by an anti join. ``order`` tells the rows of a listing apart.
+    that Spark applies in every task before the shuffle, and leave by an anti join.
     """
     last = Window.partitionBy(*LISTING).orderBy(*[F.col(c).desc() for c in order])
     own = [c for c in order if c not in LISTING]
-    tail = collected.select(*LISTING, *own).withColumn("_from_end", F.row_number().over(last)).where(F.col("_from_end") < page_size)
-    partial = collected.groupBy(*LISTING).agg((F.count(F.lit(1)) % page_size).alias("_partial")).where("_partial > 0")
+    tail = rows.select(*LISTING, *own).withColumn("_from_end", F.row_number().over(last)).where(F.col("_from_end") < page_size)
+    partial = rows.groupBy(*LISTING).agg((F.count(F.lit(1)) % page_size).alias("_partial")).where("_partial > 0")
     gone = tail.join(partial, LISTING).where("_from_end <= _partial").select(*LISTING, *own)
-    return collected.join(gone, [*LISTING, *own], "left_anti")
+    return rows.join(gone, [*LISTING, *own], "left_anti")
 
 
 def with_version_rank(reviews: DataFrame, versions: Sequence[str] = VERSIONS) -> DataFrame:
