@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from critiq.operators import consolidate as C
 from critiq.plans.oracle_views import with_views
+from critiq.session import keep
 from critiq.sources import tables
 from critiq.sources.tables import LISTING
 
@@ -34,6 +35,11 @@ def fixture_signature() -> list:
     return [(F.col("user_id") % 20).alias("sig_user"), F.col("review_item").alias("sig_item")]
 
 
+def _signatures(spark, sf) -> DataFrame:
+    """Signatures of all listings, stored: their users read them twice, and a listing's row is small beside its reviews."""
+    return keep(C.listing_signatures(tables.reviews(spark, sf), fixture_signature()), "signatures")
+
+
 def _flat_sig(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "sig"],
                      F.col("sig.sig_user").alias("sig_user"), F.col("sig.sig_item").alias("sig_item"))
@@ -52,8 +58,7 @@ def q_merge_conflicts(spark, sf):
 
 
 def q_format_dedup(spark, sf):
-    sigs = C.listing_signatures(tables.reviews(spark, sf), fixture_signature())
-    return _flat_sig(C.format_dedup(sigs))
+    return _flat_sig(C.format_dedup(_signatures(spark, sf)))
 
 
 def q_review_dedup(spark, sf):
@@ -69,9 +74,7 @@ def q_filter_accounting(spark, sf):
 
 
 def q_blocked_items(spark, sf):
-    r = tables.reviews(spark, sf)
-    blocked = C.duplicate_base_listings(C.listing_signatures(r, fixture_signature()))
-    return C.remove_blocked(r, blocked)
+    return C.remove_blocked(tables.reviews(spark, sf), C.duplicate_base_listings(_signatures(spark, sf)))
 
 
 def q_skip_known_items(spark, sf):
