@@ -26,10 +26,11 @@ from pyspark.sql.types import StructType
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None, count_keys: bool = True) -> SparkSession:
     """A session of the same application whose streams keep their state in RocksDB; the caller's settings stay as they are.
 
-    The number of state partitions is fixed by a stream's first run.
+    The number of state partitions is fixed by a stream's first run. Without ``count_keys`` a
+    new key is not looked up a second time to keep the number of keys that progress reports.
     """
     own = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
@@ -37,6 +38,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # Each batch uploads the changes of its keys, not the whole state.
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", str(count_keys).lower())
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return own
@@ -44,13 +46,13 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
 
 def ingest(spark: SparkSession, landing: str, schema: StructType, key: Sequence[str], target: str,
            checkpoint: str, files_per_trigger: int | None = None, state_partitions: int | None = None,
-           progress: list[dict] | None = None) -> DataFrame:
+           progress: list[dict] | None = None, count_keys: bool = True) -> DataFrame:
     """Run the ingest stream over everything in ``landing`` and return the review table.
 
     ``files_per_trigger`` bounds a micro-batch; it does not change the result. ``progress``
-    takes what each micro-batch reported.
+    takes what each micro-batch reported; ``count_keys`` keeps the number of keys in it.
     """
-    own = stream_session(spark, state_partitions)
+    own = stream_session(spark, state_partitions, count_keys)
     reader = own.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
