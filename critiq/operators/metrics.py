@@ -20,13 +20,26 @@ def dataset_metrics(reviews: DataFrame, group: str = "publisher") -> DataFrame:
     Users and review items are counted as set unions on the total row; pooled
     listings are keyed by (group, umbrella_item), so their total is the sum over
     groups, as in the reference.
+
+    A review becomes one row per set, not one per set and level as distinct counts over a
+    rollup make of it: every (group, id) is met once, and only those go into the total.
+    Review counts and sums ride on the users' rows.
     """
-    return (reviews.rollup(group)
-            .agg(F.count(F.lit(1)).alias("n_reviews"),
-                 F.countDistinct("user_id").alias("n_users"),
-                 F.countDistinct("review_item").alias("n_review_items"),
-                 F.countDistinct(F.col(group), F.col("umbrella_item")).alias("n_pooled_items"),
-                 F.round(F.avg("rating"), 6).alias("mean_rating")))
+    ids = ["user_id", "review_item", "umbrella_item"]
+    sums = [F.sum(c).alias(c) for c in ("n", "s", "r")]
+    met = reviews.groupingSets([[group, i] for i in ids], group, *ids).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"), F.count("rating").alias("r"))
+    users, items, pooled = (F.col("_set") == s for s in (0b011, 0b101, 0b110))  # a bit for every id that the set is without
+    levels = met.withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
+    levels = levels.withColumn("_part", F.when(F.col("_own") | pooled, F.col(group)))
+    each = levels.groupBy("_own", "_set", "_part", *ids).agg(*sums)
+    total = {c: F.sum(F.when(users, F.col(c))) for c in ("n", "s", "r")}
+    return each.groupBy("_own", F.when(F.col("_own"), F.col("_part")).alias(group)).agg(
+        F.coalesce(total["n"], F.lit(0)).alias("n_reviews"),
+        F.count_if(users & F.col("user_id").isNotNull()).alias("n_users"),
+        F.count_if(items & F.col("review_item").isNotNull()).alias("n_review_items"),
+        F.count_if(pooled & F.col("umbrella_item").isNotNull() & F.col("_part").isNotNull()).alias("n_pooled_items"),
+        F.round(F.try_divide(total["s"], total["r"]), 6).alias("mean_rating")).drop("_own")
 
 
 # --------------------------------------------------------------------------- mergeable distinct counts
