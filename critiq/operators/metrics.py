@@ -2,8 +2,8 @@
 
 All metrics are hash aggregations with map-side partial aggregation, so a hot
 publisher, user or listing is pre-reduced inside every task before the shuffle.
-Totals next to per-group rows come from ``rollup``; ``publisher`` is NULL on the
-total row.
+Totals next to per-group rows come from ``rollup``, for distinct counts from ids
+folded before; ``publisher`` is NULL on the total row.
 """
 
 from __future__ import annotations
